@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from basketmill.functions.parsing import parse_time, time_text
-from basketmill.operators.relational import absent_from
 from basketmill.schemas import DEFAULT_SCORE, ORDER_TIMES, UNKNOWN_CATEGORY, WIDE_COLUMNS
 
 Tables = Mapping[str, DataFrame]
@@ -47,12 +46,13 @@ def clean_wide(tables: Tables) -> DataFrame:
     )
 
 
-def wide_counts(tables: Tables) -> DataFrame:
-    """Rows of the wide table and filled scores in it, as one row, from counts per order.
+def order_tally(tables: Tables) -> DataFrame:
+    """Per raw order: whether it was delivered and how many partners it has in each other table.
 
-    The rows themselves are never formed: an order contributes the product of its counts.
+    Everything is counted per key before it crosses the network, so an order or product with very
+    many rows arrives as one count per task.
     """
-    orders = owned_orders(tables).groupBy("order_id").agg(F.count(F.lit(1)).alias("orders"))
+    customers = tables["customers"].groupBy("customer_id").agg(F.count(F.lit(1)).alias("customers"))
     items = (
         tables["order_items"]
         .groupBy("order_id", "product_id")
@@ -66,35 +66,48 @@ def wide_counts(tables: Tables) -> DataFrame:
         .groupBy("order_id")
         .agg(F.count(F.lit(1)).alias("reviews"), F.count_if(F.col("review_score").isNull()).alias("unscored"))
     )
-    per_order = orders.join(items, "order_id").join(reviews, "order_id")
-    pairs = F.col("orders") * F.col("items")
-    return per_order.agg(
-        F.coalesce(F.sum(pairs * F.col("reviews")), F.lit(0)).alias("wide_rows"),
-        F.coalesce(F.sum(pairs * F.col("unscored")), F.lit(0)).alias("scores_filled"),
+    return (
+        tables["orders"]
+        .select(
+            "order_id",
+            "customer_id",
+            parse_time(F.col("order_delivered_customer_date")).isNotNull().alias("delivered"),
+        )
+        .join(customers, "customer_id", "left")
+        .join(items, "order_id", "left")
+        .join(reviews, "order_id", "left")
+        .select("order_id", "delivered", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("customers", "items", "reviews", "unscored")])
     )
 
 
-def cleaning_report(tables: Tables) -> DataFrame:
-    """What cleaning read, dropped, filled and kept, as (metric, value) rows."""
-    delivered = parse_time(F.col("order_delivered_customer_date")).isNotNull()
-    from_orders = tables["orders"].agg(
+def wide_counts(tally: DataFrame) -> DataFrame:
+    """Orders read, dropped and kept, and the size of the wide table, as one row.
+
+    The wide rows are never formed: an order contributes the product of its counts.
+    """
+    delivered = F.col("delivered")
+    pairs = F.when(delivered, F.col("customers") * F.col("items")).otherwise(F.lit(0))
+    return tally.agg(
         F.count(F.lit(1)).alias("orders_in"),
         F.count_if(~delivered).alias("orders_undelivered"),
         F.count_if(delivered).alias("orders_kept"),
+        F.count_if(delivered & (F.col("reviews") == 0)).alias("orders_without_review"),
+        F.coalesce(F.sum(pairs * F.col("unscored")), F.lit(0)).alias("scores_filled"),
+        F.coalesce(F.sum(pairs * F.col("reviews")), F.lit(0)).alias("wide_rows"),
     )
-    from_products = tables["products"].agg(
+
+
+def cleaning_report(tables: Tables) -> DataFrame:
+    """What cleaning read, dropped, filled and kept, as (metric, value) rows."""
+    unfilled = tables["products"].agg(
         F.count_if(F.col("product_category_name").isNull()).alias("categories_filled")
     )
-    from_reviews = tables["order_reviews"].agg(F.count_if(F.col("review_score").isNull()).alias("reviews_unscored"))
-    unreviewed = absent_from(delivered_orders(tables["orders"]), tables["order_reviews"], ["order_id"]).agg(
-        F.count(F.lit(1)).alias("orders_without_review")
+    unscored = tables["order_reviews"].agg(F.count_if(F.col("review_score").isNull()).alias("reviews_unscored"))
+    return (
+        metric_rows(wide_counts(order_tally(tables)))
+        .unionByName(metric_rows(unfilled))
+        .unionByName(metric_rows(unscored))
     )
-    parts = [from_orders, from_products, from_reviews, unreviewed, wide_counts(tables)]
-    rows = [metric_rows(p) for p in parts]
-    report = rows[0]
-    for more in rows[1:]:
-        report = report.unionByName(more)
-    return report
 
 
 def metric_rows(one_row: DataFrame) -> DataFrame:

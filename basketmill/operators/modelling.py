@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from basketmill.operators.cleaning import Tables, filled_products, filled_reviews, owned_orders
 from basketmill.operators.relational import present_in
 from basketmill.schemas import NORMAL_FORM, Projection
+from basketmill.session import stage
 
 
 def project(df: DataFrame, spec: Projection) -> DataFrame:
@@ -23,22 +24,52 @@ def decompose(wide: DataFrame, specs: Mapping[str, Projection] = NORMAL_FORM) ->
     return {name: project(wide, spec) for name, spec in specs.items()}
 
 
-def normal_form(tables: Tables) -> dict[str, DataFrame]:
+def kept_orders(tables: Tables) -> DataFrame:
+    """Orders of the wide table without widening: those that find partners in all other tables."""
+    listed = present_in(tables["order_items"], tables["products"], ["product_id"])
+    return present_in(present_in(owned_orders(tables), listed, ["order_id"]), tables["order_reviews"], ["order_id"])
+
+
+def normal_form(tables: Tables, orders: DataFrame | None = None) -> dict[str, DataFrame]:
     """The same five tables straight from the raw ones.
 
     A row of a raw table reaches the wide table exactly when it finds partners in all the others, so
     its projection is a chain of semi joins. No row is multiplied, and only keys are exchanged
-    besides the table itself.
+    besides the table itself. ``orders`` are the kept orders, where they are stored already.
     """
-    items = present_in(tables["order_items"], tables["products"], ["product_id"])
-    reviews = tables["order_reviews"]
-    orders = present_in(present_in(owned_orders(tables), items, ["order_id"]), reviews, ["order_id"])
-    items = present_in(items, orders, ["order_id"])
+    orders = kept_orders(tables) if orders is None else orders
+    items = present_in(present_in(tables["order_items"], tables["products"], ["product_id"]), orders, ["order_id"])
     rows = {
         "customers": orders,
         "products": present_in(filled_products(tables["products"]), items, ["product_id"]),
         "orders": orders,
         "order_items": items,
-        "order_reviews": present_in(filled_reviews(reviews), orders, ["order_id"]),
+        "order_reviews": present_in(filled_reviews(tables["order_reviews"]), orders, ["order_id"]),
     }
     return {name: project(rows[name], spec) for name, spec in NORMAL_FORM.items()}
+
+
+def joinable_form(tables: Tables, with_products: bool) -> dict[str, DataFrame]:
+    """The normal form for queries that join everything to ``orders``.
+
+    That join drops the items and reviews of other orders by itself, so they are not looked up
+    twice. With ``with_products`` the query also joins items to ``products``, which does the same for
+    items of unknown products.
+    """
+    items = tables["order_items"]
+    rows = {
+        "products": filled_products(tables["products"]),
+        "orders": kept_orders(tables),
+        "order_items": items if with_products else present_in(items, tables["products"], ["product_id"]),
+        "order_reviews": filled_reviews(tables["order_reviews"]),
+    }
+    return {name: project(df, NORMAL_FORM[name]) for name, df in rows.items()}
+
+
+def normal_form_of_stored_orders(tables: Tables) -> dict[str, DataFrame]:
+    """The normal form with its orders written to the shared folder first.
+
+    Finding the kept orders takes most of the joins and every other table follows from them, so a
+    query over several tables finds them once and reads them back.
+    """
+    return normal_form(tables, stage(project(kept_orders(tables), NORMAL_FORM["orders"]), "orders"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from basketmill.operators import marts
+from basketmill.operators.modelling import joinable_form
 from basketmill.plans.model import model
 from basketmill.sources.roles import retail
 
@@ -14,16 +15,20 @@ FIRST_YEAR, LAST_YEAR = 1997, 1998
 FREIGHT_YEAR = 1997
 
 
+def by_order(spark: SparkSession, folder: str, with_products: bool = False) -> dict[str, DataFrame]:
+    return joinable_form(retail(spark, folder), with_products)
+
+
 def headline_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return marts.headline_metrics(model(spark, folder))
 
 
 def delivery_satisfaction(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.delivery_satisfaction(model(spark, folder), FIRST_YEAR, LAST_YEAR)
+    return marts.delivery_satisfaction(by_order(spark, folder), FIRST_YEAR, LAST_YEAR)
 
 
 def delivery_satisfaction_by_order(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.delivery_satisfaction_by_order(model(spark, folder), FIRST_YEAR, LAST_YEAR)
+    return marts.delivery_satisfaction_by_order(by_order(spark, folder), FIRST_YEAR, LAST_YEAR)
 
 
 def score_gap(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,15 +36,15 @@ def score_gap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def category_repurchase(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.category_repurchase(model(spark, folder), GROUPS, FIRST_YEAR, LAST_YEAR)
+    return marts.category_repurchase(by_order(spark, folder, with_products=True), GROUPS, FIRST_YEAR, LAST_YEAR)
 
 
 def freight_by_quarter(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.freight_by_quarter(model(spark, folder), FREIGHT_YEAR)
+    return marts.freight_by_quarter(by_order(spark, folder), FREIGHT_YEAR)
 
 
 def freight_by_quarter_by_order(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.freight_by_quarter_by_order(model(spark, folder), FREIGHT_YEAR)
+    return marts.freight_by_quarter_by_order(by_order(spark, folder), FREIGHT_YEAR)
 
 
 def q4_freight_gap(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,7 +52,7 @@ def q4_freight_gap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def wide_sample(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.wide_sample(model(spark, folder))
+    return marts.wide_sample(by_order(spark, folder, with_products=True))
 
 
 def latest_rows(spark: SparkSession, folder: str) -> DataFrame:
