@@ -11,6 +11,7 @@ from basketmill.operators.cleaning import Tables, clean_wide
 from basketmill.operators.policy import listed_items, visible
 from basketmill.operators.relational import top
 from basketmill.schemas import WIDE_COLUMNS
+from basketmill.session import stage
 
 LATE, ON_TIME = "late", "on_time"
 
@@ -185,8 +186,8 @@ def wide_sample(model: Tables, n: int = 50) -> DataFrame:
 
     Every order of the model has at least one row, so only the first ``n`` orders are joined.
     """
-    first = F.broadcast(top(model["orders"], n, F.col("order_id"), F.col("customer_unique_id"), *map(F.col, (
-        "order_purchase_timestamp", "order_delivered_customer_date", "order_estimated_delivery_date"))))
+    by_id = ("order_id", *[c for c in model["orders"].columns if c != "order_id"])
+    first = F.broadcast(stage(top(model["orders"], n, *map(F.col, by_id)), "first_orders"))
     ids = F.broadcast(first.select("order_id").distinct())
     items = model["order_items"].join(ids, "order_id", "left_semi")
     reviews = model["order_reviews"].join(ids, "order_id", "left_semi")
@@ -208,13 +209,14 @@ def wide_sample(model: Tables, n: int = 50) -> DataFrame:
         "order_estimated_delivery_date")])
 
 
-def latest_rows(tables: Tables, model: Tables, n: int = 10) -> DataFrame:
+def latest_rows(tables: Tables, orders: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` wide rows bought last.
 
-    They belong to the ``n`` orders bought last, so only those orders are widened.
+    They belong to the ``n`` kept ``orders`` bought last, so only those are widened.
     """
     bought = F.col("order_purchase_timestamp").desc()
-    ids = F.broadcast(top(model["orders"], n, bought, F.col("order_id")).select("order_id").distinct())
+    newest = top(orders, n, bought, F.col("order_id")).select("order_id").distinct()
+    ids = F.broadcast(stage(newest, "newest_orders"))
     narrowed = dict(tables)
     for name in ("orders", "order_items", "order_reviews"):
         narrowed[name] = tables[name].join(ids, "order_id", "left_semi")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from basketmill.operators.cleaning import Tables, filled_products, filled_reviews, owned_orders
-from basketmill.operators.relational import present_in
+from basketmill.operators.relational import owned_by, present_in
 from basketmill.schemas import NORMAL_FORM, Projection
 from basketmill.session import stage
 
@@ -24,27 +24,46 @@ def decompose(wide: DataFrame, specs: Mapping[str, Projection] = NORMAL_FORM) ->
     return {name: project(wide, spec) for name, spec in specs.items()}
 
 
+def known_products(tables: Tables) -> DataFrame:
+    """The product rows without copies."""
+    return project(filled_products(tables["products"]), NORMAL_FORM["products"])
+
+
+def listed_items(tables: Tables) -> DataFrame:
+    """Items of known products."""
+    return owned_by(tables["order_items"], known_products(tables), ["product_id"])
+
+
 def kept_orders(tables: Tables) -> DataFrame:
     """Orders of the wide table without widening: those that find partners in all other tables."""
-    listed = present_in(tables["order_items"], tables["products"], ["product_id"])
-    return present_in(present_in(owned_orders(tables), listed, ["order_id"]), tables["order_reviews"], ["order_id"])
+    orders = present_in(owned_orders(tables), listed_items(tables), ["order_id"])
+    return project(present_in(orders, tables["order_reviews"], ["order_id"]), NORMAL_FORM["orders"])
+
+
+def stored_orders(tables: Tables) -> DataFrame:
+    """The kept orders, written to the shared folder and read back.
+
+    Finding them takes most of the joins and every other table follows from them. As a scan they
+    can also meet crowded items or reviews in a join that Spark is able to split.
+    """
+    return stage(kept_orders(tables), "orders")
 
 
 def normal_form(tables: Tables, orders: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The same five tables straight from the raw ones.
+    """The same five tables straight from the raw ones, given the kept orders.
 
     A row of a raw table reaches the wide table exactly when it finds partners in all the others, so
     its projection is a chain of semi joins. No row is multiplied, and only keys are exchanged
-    besides the table itself. ``orders`` are the kept orders, where they are stored already.
+    besides the table itself.
     """
-    orders = kept_orders(tables) if orders is None else orders
-    items = present_in(present_in(tables["order_items"], tables["products"], ["product_id"]), orders, ["order_id"])
+    orders = stored_orders(tables) if orders is None else orders
+    items = owned_by(listed_items(tables), orders, ["order_id"])
     rows = {
         "customers": orders,
-        "products": present_in(filled_products(tables["products"]), items, ["product_id"]),
+        "products": present_in(known_products(tables), items, ["product_id"]),
         "orders": orders,
         "order_items": items,
-        "order_reviews": present_in(filled_reviews(tables["order_reviews"]), orders, ["order_id"]),
+        "order_reviews": owned_by(filled_reviews(tables["order_reviews"]), orders, ["order_id"]),
     }
     return {name: project(rows[name], spec) for name, spec in NORMAL_FORM.items()}
 
@@ -56,20 +75,10 @@ def joinable_form(tables: Tables, with_products: bool) -> dict[str, DataFrame]:
     twice. With ``with_products`` the query also joins items to ``products``, which does the same for
     items of unknown products.
     """
-    items = tables["order_items"]
     rows = {
-        "products": filled_products(tables["products"]),
+        "products": known_products(tables),
         "orders": kept_orders(tables),
-        "order_items": items if with_products else present_in(items, tables["products"], ["product_id"]),
+        "order_items": tables["order_items"] if with_products else listed_items(tables),
         "order_reviews": filled_reviews(tables["order_reviews"]),
     }
     return {name: project(df, NORMAL_FORM[name]) for name, df in rows.items()}
-
-
-def normal_form_of_stored_orders(tables: Tables) -> dict[str, DataFrame]:
-    """The normal form with its orders written to the shared folder first.
-
-    Finding the kept orders takes most of the joins and every other table follows from them, so a
-    query over several tables finds them once and reads them back.
-    """
-    return normal_form(tables, stage(project(kept_orders(tables), NORMAL_FORM["orders"]), "orders"))

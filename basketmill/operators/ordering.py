@@ -16,13 +16,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from basketmill.operators.skew import MAX_GROUP_ROWS, crowded_groups
 from basketmill.session import stage
 
-# Rows of one group that one task may sort.
-MAX_GROUP_ROWS = 4_000_000
-# Larger groups that are picked out by name; with more of them every row takes the sorted way.
-MAX_NAMED_GROUPS = 1_000
-
 _PART, _SEQ = "_part", "_seq"
 
 
@@ -55,21 +51,6 @@ def number_rows(df: DataFrame, order_by: Sequence, name: str = "id") -> DataFram
     )
 
 
-def crowded_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | None | bool:
-    """The groups with more than ``max_rows`` rows.
-
-    None when there is none, True when there are too many to name, else a small frame of keys.
-    Counting combines before the exchange, so a crowded group costs one row per task.
-    """
-    over = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(*keys)
-    named = over.limit(MAX_NAMED_GROUPS + 1).collect()
-    if not named:
-        return None
-    if len(named) > MAX_NAMED_GROUPS:
-        return True
-    return df.sparkSession.createDataFrame(named, over.schema)
-
-
 def _rank_by_window(df: DataFrame, keys, order_by, name: str) -> DataFrame:
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
     return df.withColumn(name, place.cast("long"))

@@ -31,10 +31,22 @@ def theta_join(left: DataFrame, right: DataFrame, on: Column, max_rows: int = MA
 
 
 def present_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """EXISTS: rows whose key occurs in ``other``; its copies are merged before the exchange."""
+    """EXISTS: rows whose key occurs in ``other``, where it may occur very often.
+
+    The copies of ``other`` are merged before the exchange.
+    """
     return df.join(other.select(*keys).distinct(), list(keys), "left_semi")
 
 
+def owned_by(facts: DataFrame, owners: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same for many facts per key and about one owner row per key.
+
+    Owners are not merged by the key: an exchange then feeds the join on both sides, which lets Spark
+    split a crowded key of the facts over several tasks.
+    """
+    return facts.join(owners.select(*keys), list(keys), "left_semi")
+
+
 def absent_from(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """NOT EXISTS: rows whose key does not occur in ``other``; a null key occurs nowhere."""
     return df.join(other.select(*keys).distinct(), list(keys), "left_anti")

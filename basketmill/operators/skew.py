@@ -1,0 +1,55 @@
+"""Groups and join keys that hold a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+# Rows of one group that one task may hold.
+MAX_GROUP_ROWS = 4_000_000
+# Larger groups that are picked out by name; with more of them all rows go the spread way.
+MAX_NAMED_GROUPS = 1_000
+# Tasks that share one crowded join key.
+SALTS = 64
+
+
+def crowded_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | None | bool:
+    """The groups with more than ``max_rows`` rows.
+
+    None when there is none, True when there are too many to name, else a small frame of keys.
+    Counting combines before the exchange, so a crowded group costs one row per task.
+    """
+    over = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(*keys)
+    named = over.limit(MAX_NAMED_GROUPS + 1).collect()
+    if not named:
+        return None
+    if len(named) > MAX_NAMED_GROUPS:
+        return True
+    return df.sparkSession.createDataFrame(named, over.schema)
+
+
+def _salted_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Right rows dealt out over salts by their place in the scan, copies included; left rows go to every salt."""
+    dealt = right.withColumn("_salt", F.monotonically_increasing_id() % SALTS)
+    everywhere = left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    return everywhere.join(dealt, [key, "_salt"]).drop("_salt")
+
+
+def join_repeated(left: DataFrame, right: DataFrame, key: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Inner join on a key that may repeat very often in ``right``, a scan.
+
+    Spark splits a crowded key by itself only where an exchange feeds the join on both sides. Here the
+    left side is already laid out by the key, and one more exchange of all of it would be the
+    price; so only the crowded keys are taken aside and salted.
+    """
+    crowded = crowded_groups(right, [key], max_group_rows)
+    if crowded is None:
+        return left.join(right, key)
+    if crowded is True:
+        return _salted_join(left, right, key)
+    names = F.broadcast(crowded)
+    plain = left.join(names, key, "left_anti").join(right.join(names, key, "left_anti"), key)
+    return plain.unionByName(
+        _salted_join(left.join(names, key, "left_semi"), right.join(names, key, "left_semi"), key)
+    )

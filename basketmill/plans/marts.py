@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketmill.operators import marts
 from basketmill.operators.modelling import joinable_form
-from basketmill.plans.model import model
+from basketmill.plans.model import kept_orders, model
 from basketmill.sources.roles import retail
 
 # Category groups and periods of the analysis (fixed values of the role tables).
@@ -56,7 +56,7 @@ def wide_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.latest_rows(retail(spark, folder), model(spark, folder))
+    return marts.latest_rows(retail(spark, folder), kept_orders(spark, folder))
 
 
 def admin_listing(spark: SparkSession, folder: str) -> DataFrame:

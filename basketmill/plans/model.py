@@ -34,12 +34,16 @@ def cleaning_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def model(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The normal form, its orders stored first."""
     return modelling.normal_form(retail(spark, folder))
 
 
-def stored_model(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The normal form as stored tables, for checks that go over all of them."""
-    return modelling.normal_form_of_stored_orders(retail(spark, folder))
+def kept_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return modelling.kept_orders(retail(spark, folder))
+
+
+def normalize_customers(spark: SparkSession, folder: str) -> DataFrame:
+    return modelling.project(kept_orders(spark, folder), NORMAL_FORM["customers"])
 
 
 def _projection(name: str):
@@ -57,11 +61,11 @@ def decompose_products(spark: SparkSession, folder: str) -> DataFrame:
 def not_null_check(spark: SparkSession, folder: str) -> DataFrame:
     """Raw tables, where gaps are expected, and the normal form, where none may be left."""
     raw = {f"raw_{name}": df for name, df in retail(spark, folder).items()}
-    return quality.not_null({**raw, **stored_model(spark, folder)})
+    return quality.not_null({**raw, **model(spark, folder)})
 
 
 def check_rules(spark: SparkSession, folder: str) -> DataFrame:
-    tables = stored_model(spark, folder)
+    tables = model(spark, folder)
     return quality.check_rules(
         {**tables, "product_inventory": inventory(spark, folder)},
         {
@@ -76,24 +80,24 @@ def check_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
-    tables = {**stored_model(spark, folder), "cleaned_flat_table": clean_wide(spark, folder)}
+    tables = {**model(spark, folder), "cleaned_flat_table": clean_wide(spark, folder)}
     keys = {name: spec.key for name, spec in NORMAL_FORM.items()}
     return quality.duplicate_keys(tables, {**keys, "cleaned_flat_table": WIDE_KEY})
 
 
 def fk_orphans(spark: SparkSession, folder: str) -> DataFrame:
     """The declared references, and raw orders against the orders that survived cleaning."""
-    tables = {**stored_model(spark, folder), "raw_orders": retail(spark, folder)["orders"]}
+    tables = {**model(spark, folder), "raw_orders": retail(spark, folder)["orders"]}
     return quality.orphans(tables, (*REFERENCES, Reference("raw_orders", "order_id", "orders")))
 
 
 def fd_check(spark: SparkSession, folder: str) -> DataFrame:
     """Dependencies of the wide table, read off its projections: the distinct pairs are the same."""
-    return quality.dependency_check(stored_model(spark, folder), DEPENDENCIES)
+    return quality.dependency_check(model(spark, folder), DEPENDENCIES)
 
 
 def row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.row_counts(stored_model(spark, folder))
+    return quality.row_counts(model(spark, folder))
 
 
 def readiness(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,7 +108,7 @@ def grain_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     """Counts expected from the widened rows against tables built without widening."""
     grains = {name: spec.key for name, spec in NORMAL_FORM.items()}
     grains["order_items"] = NORMAL_FORM["order_items"].columns
-    return quality.grain(clean_wide(spark, folder), stored_model(spark, folder), grains)
+    return quality.grain(clean_wide(spark, folder), model(spark, folder), grains)
 
 
 def surrogate_key(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,7 +122,7 @@ def range_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def redundancy_report(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.redundancy(cleaning.wide_counts(cleaning.order_tally(retail(spark, folder))), stored_model(spark, folder), DEPENDENCIES)
+    return quality.redundancy(cleaning.wide_counts(cleaning.order_tally(retail(spark, folder))), model(spark, folder), DEPENDENCIES)
 
 
 def rule_gate_valid(spark: SparkSession, folder: str) -> DataFrame:
@@ -166,9 +170,9 @@ QUERIES = {
 }
 QUERIES.update(
     {
-        "normalize_customers": _projection("customers"),
+        "normalize_customers": normalize_customers,
         "normalize_products": _projection("products"),
-        "normalize_orders": _projection("orders"),
+        "normalize_orders": kept_orders,
         "normalize_items": _projection("order_items"),
         "normalize_reviews": _projection("order_reviews"),
     }

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from basketmill.functions.parsing import blank_to_null
 
-BAD_RECORD = "_bad_record"
+BAD_COLUMNS = "_bad_columns"
 OUTPUT_TIME = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -28,21 +28,8 @@ def read_csv(
     if schema is None:
         raw = spark.read.option("header", True).option("inferSchema", True).csv(path)
     else:
-        text = spark.read.option("header", True).csv(path)
-        missing = [name for name in schema.names if name not in text.columns]
-        if missing:
-            raise ValueError(f"{path} has no column {', '.join(missing)}")
-        # Selecting on the text columns keeps CSV column pruning; the casts run on read.
-        raw = text.select(
-            *[
-                (
-                    F.col(f.name)
-                    if isinstance(f.dataType, StringType)
-                    else F.trim(F.col(f.name)).try_cast(f.dataType)
-                ).alias(f.name)
-                for f in schema.fields
-            ]
-        )
+        text = _text_columns(spark, path, schema)
+        raw = text.select(*[_typed(f).alias(f.name) for f in schema.fields])
     blanked = raw.select(
         *[
             blank_to_null(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f.name)
@@ -52,6 +39,20 @@ def read_csv(
     return blanked.select(*columns) if columns else blanked
 
 
+def _text_columns(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The named columns as text. Typing them afterwards keeps CSV column pruning."""
+    text = spark.read.option("header", True).csv(path)
+    missing = [name for name in schema.names if name not in text.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return text.select(*schema.names)
+
+
+def _typed(field: StructField) -> Column:
+    column = F.col(field.name)
+    return column if isinstance(field.dataType, StringType) else F.trim(column).try_cast(field.dataType)
+
+
 def read_raw_tables(
     spark: SparkSession, folder: str, schemas: Mapping[str, StructType], pattern: str = "{name}.csv"
 ) -> dict[str, DataFrame]:
@@ -63,21 +64,23 @@ def read_raw_tables(
 
 
 def load_typed(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """Bulk load by position: well-formed rows, and the text of the rows that do not fit ``schema``."""
-    widened = StructType([*schema.fields, StructField(BAD_RECORD, StringType(), True)])
-    rows = (
-        spark.read.schema(widened)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_RECORD)
-        .option("timestampNTZFormat", OUTPUT_TIME)
-        .csv(path)
-    )
-    # Naming every column keeps the parser from pruning down to the bad-record column alone,
-    # which Spark refuses.
+    """Bulk load: typed rows, and the text of rows with a value that does not fit its column's type.
+
+    The second frame names the columns at fault. Both look at every column, so what a later step
+    selects does not change which rows fit.
+    """
+    text = _text_columns(spark, path, schema)
+    unfit = {f.name: blank_to_null(F.col(f.name)).isNotNull() & _typed(f).isNull() for f in schema.fields}
+    judged = text.withColumn(BAD_COLUMNS, F.concat_ws(",", *[F.when(test, F.lit(n)) for n, test in unfit.items()]))
+    good = judged.filter(F.col(BAD_COLUMNS) == "")
     return (
-        rows.filter(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD),
-        rows.filter(F.col(BAD_RECORD).isNotNull()),
+        good.select(
+            *[
+                (blank_to_null(F.col(f.name)) if isinstance(f.dataType, StringType) else _typed(f)).alias(f.name)
+                for f in schema.fields
+            ]
+        ),
+        judged.filter(F.col(BAD_COLUMNS) != ""),
     )
 
 

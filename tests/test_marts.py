@@ -116,7 +116,7 @@ def test_samples_and_listings(case):
         for i in model["order_items"] for p in model["products"] if p[0] == i[2]
     }
     assert rows(marts.next_item_id(full)) == sorted(following, key=repr)
-    latest = marts.latest_rows(tables, full, 9).collect()
+    latest = marts.latest_rows(tables, full["orders"], 9).collect()
     bought = sorted((r[3] for r in cleaning.clean_wide(tables).collect()), reverse=True)
     assert [r.order_purchase_timestamp for r in latest] == bought[:9]
 

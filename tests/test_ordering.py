@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from basketmill.operators import ordering
+from basketmill.operators import ordering, skew
 from conftest import rows
 
 SCHEMA = "g string, t int, id int, v int"
@@ -41,7 +41,7 @@ def test_rank_and_previous_agree_whatever_the_group_limit(spark, limit):
 
 
 def test_every_group_crowded(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "MAX_NAMED_GROUPS", 2)
+    monkeypatch.setattr(skew, "MAX_NAMED_GROUPS", 2)
     data = crowd(3)
     df = spark.createDataFrame(data, SCHEMA)
     ranked = ordering.rank_in_group(df, ["g"], ["t", "id"], "place", max_group_rows=1)
@@ -68,3 +68,18 @@ def test_nothing_in_nothing_out(spark):
     assert ordering.number_rows(df, ["t", "id"], "n").count() == 0
     assert ordering.rank_in_group(df, ["g"], ["t"], "n").count() == 0
     assert ordering._rank_by_sort(df, ["g"], ["t"], "n").count() == 0
+
+
+@pytest.mark.parametrize("named", [1000, 2])
+@pytest.mark.parametrize("limit", [10_000, 3])
+def test_join_on_a_crowded_key(spark, monkeypatch, limit, named):
+    monkeypatch.setattr(skew, "MAX_NAMED_GROUPS", named)
+    left = [("a", 1), ("a", 1), ("b", 2), ("c", 3), (None, 4), ("e", 5), ("f", 6)]
+    # Copies, keys on one side only, null keys.
+    right = [("a", 7)] * 40 + [("b", i) for i in range(5)] + [("c", 0), ("d", 0), (None, 1)] * 4 + [("f", 1)]
+    got = skew.join_repeated(
+        spark.createDataFrame(left, "k string, l int"), spark.createDataFrame(right, "k string, r int"), "k", limit
+    )
+    assert got.columns == ["k", "l", "r"]
+    want = sorted((k, x, y) for k, x in left for j, y in right if k is not None and k == j)
+    assert rows(got) == want
