@@ -11,7 +11,7 @@ of rows in the parts before it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -74,22 +74,67 @@ def _rank_by_sort(df: DataFrame, keys, order_by, name: str) -> DataFrame:
     )
 
 
-def rank_in_group(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence, name: str, max_group_rows: int = MAX_GROUP_ROWS
+def _by_size(
+    df: DataFrame,
+    keys: Sequence[str],
+    max_group_rows: int,
+    counted: DataFrame | None,
+    by_window: Callable[[DataFrame], DataFrame],
+    by_sort: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """``row_number()`` per group; groups above ``max_group_rows`` are spread over many tasks."""
-    crowded = crowded_groups(df, keys, max_group_rows)
+    """Rows of ordinary groups through ``by_window``, the others through ``by_sort``."""
+    crowded = crowded_groups(df if counted is None else counted, keys, max_group_rows)
     if crowded is None:
-        return _rank_by_window(df, keys, order_by, name)
+        return by_window(df)
+    # The rows are read for sampling, for sorting and for the ordinary groups: compute them once.
+    df = stage(df, "ungrouped")
     if crowded is True:
-        return _rank_by_sort(df, keys, order_by, name)
-    crowded = crowded.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+        return by_sort(df)
+    crowded = F.broadcast(crowded.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
     hot = _same(df, crowded, keys, "_hot_")
-    return _rank_by_window(df.join(F.broadcast(crowded), hot, "left_anti"), keys, order_by, name).unionByName(
-        _rank_by_sort(df.join(F.broadcast(crowded), hot, "left_semi"), keys, order_by, name)
+    return by_window(df.join(crowded, hot, "left_anti")).unionByName(by_sort(df.join(crowded, hot, "left_semi")))
+
+
+def rank_in_group(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence,
+    name: str,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """``row_number()`` per group; groups above ``max_group_rows`` are spread over many tasks.
+
+    ``counted`` may be a cheaper frame with at least the same rows per group, to find those groups.
+    """
+    return _by_size(
+        df,
+        keys,
+        max_group_rows,
+        counted,
+        lambda part: _rank_by_window(part, keys, order_by, name),
+        lambda part: _rank_by_sort(part, keys, order_by, name),
+    )
+
+
+def _previous_by_window(df: DataFrame, keys, order_by, value: str, name: str, default: Column) -> DataFrame:
+    in_order = Window.partitionBy(*keys).orderBy(*order_by)
+    return df.withColumn(
+        name, F.when(F.row_number().over(in_order) == 1, default).otherwise(F.lag(value).over(in_order))
     )
 
 
+def _previous_by_sort(df: DataFrame, keys, order_by, value: str, name: str, default: Column) -> DataFrame:
+    """Inside a run the row before; at its start the last value of the group's run before."""
+    placed = _place(df, [*keys, *order_by], "previous")
+    last = placed.groupBy(*keys, _PART).agg(F.max_by(value, _SEQ).alias("_last"))
+    runs = _previous_by_window(last, keys, [_PART], "_last", "_start", default).select(
+        *[F.col(k).alias(f"_of_{k}") for k in keys], F.col(_PART).alias("_of"), "_start"
+    )
+    joined = placed.join(runs, (placed[_PART] == runs["_of"]) & _same(placed, runs, keys, "_of_"))
+    return _previous_by_window(joined, [*keys, _PART], [_SEQ], value, name, F.col("_start")).select(*df.columns, name)
+
+
 def previous_in_group(
     df: DataFrame,
     keys: Sequence[str],
@@ -98,18 +143,14 @@ def previous_in_group(
     name: str,
     default: Column,
     max_group_rows: int = MAX_GROUP_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """``lag(value)`` per group, ``default`` on each group's first row."""
-    if crowded_groups(df, keys, max_group_rows) is None:
-        first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by)) == 1
-        before = F.lag(value).over(Window.partitionBy(*keys).orderBy(*order_by))
-        return df.withColumn(name, F.when(first, default).otherwise(before))
-    # Group and rank together are unique, so this join has no crowded key.
-    ranked = rank_in_group(df, keys, order_by, "_rank", max_group_rows)
-    before = ranked.select(
-        *[F.col(k).alias(f"_of_{k}") for k in keys], (F.col("_rank") + 1).alias("_next"), F.col(value).alias(name)
-    )
-    joined = ranked.join(before, (ranked["_rank"] == before["_next"]) & _same(ranked, before, keys, "_of_"), "left")
-    return joined.withColumn(name, F.when(F.col("_rank") == 1, default).otherwise(F.col(name))).select(
-        *df.columns, name
+    """``lag(value)`` per group, ``default`` on each group's first row; spread like ``rank_in_group``."""
+    return _by_size(
+        df,
+        keys,
+        max_group_rows,
+        counted,
+        lambda part: _previous_by_window(part, keys, order_by, value, name, default),
+        lambda part: _previous_by_sort(part, keys, order_by, value, name, default),
     )

@@ -117,11 +117,15 @@ def lost_updates(
     stock: Column,
     order_by: Sequence[str] = REQUEST_ORDER,
     max_group_rows: int = MAX_GROUP_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Per product: writes, and those that started from a value that was no longer the last one committed."""
+    """Per product: writes, and those that started from a value that was no longer the last one committed.
+
+    ``counted`` may name the requests behind a log that is expensive to compute.
+    """
     writes = log.filter(F.col("written").isNotNull())
     judged = previous_in_group(
-        writes, ["product_id"], list(order_by), "written", "committed", stock.cast("long"), max_group_rows
+        writes, ["product_id"], list(order_by), "written", "committed", stock.cast("long"), max_group_rows, counted
     )
     return judged.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("writes"),

@@ -43,8 +43,8 @@ def stock_allocation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lost_update_audit(spark: SparkSession, folder: str) -> DataFrame:
-    log = stock.daily_reads(requests(spark, folder), LOGGED_STOCK)
-    return stock.lost_updates(log, F.lit(LOGGED_STOCK))
+    asked = requests(spark, folder)
+    return stock.lost_updates(stock.daily_reads(asked, LOGGED_STOCK), F.lit(LOGGED_STOCK), counted=asked)
 
 
 def stock_verdict(spark: SparkSession, folder: str) -> DataFrame:
