@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from basketmill.functions.labels import group_label, in_years, quarter_label, safe_ratio
 from basketmill.operators.cleaning import Tables, clean_wide
-from basketmill.operators.policy import listed_items, visible
+from basketmill.operators.modelling import known_products, listed_items, project
+from basketmill.operators.policy import visible, with_category
 from basketmill.operators.relational import top
-from basketmill.schemas import WIDE_COLUMNS
+from basketmill.schemas import NORMAL_FORM, WIDE_COLUMNS
 from basketmill.session import stage
 
 LATE, ON_TIME = "late", "on_time"
@@ -227,17 +228,22 @@ def latest_rows(tables: Tables, orders: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def item_listing(model: Tables, role: str, n: int = 200) -> DataFrame:
+def item_listing(tables: Tables, orders: DataFrame, role: str, n: int = 200) -> DataFrame:
     """The last ``n`` items by order and item number, in the columns ``role`` may see.
 
-    Every item of the model has its product, so the last items are picked before products join.
+    Every kept order has an item and every listed item its product, so the last orders are picked
+    first, then the last of their items, and only those meet the products.
     """
-    newest = (F.col("order_id").desc(), F.col("order_item_id").desc())
-    own = [F.col(c) for c in visible(model["order_items"], role).columns if c not in ("order_id", "order_item_id")]
-    picked = F.broadcast(top(model["order_items"], n, *newest, *own))
-    listed = visible(listed_items(picked, model["products"]), role)
-    rest = [F.col(c) for c in listed.columns if c not in ("order_id", "order_item_id")]
-    return top(listed, n, *newest, *rest)
+    newest = top(orders, n, F.col("order_id").desc()).select("order_id").distinct()
+    ids = F.broadcast(stage(newest, "last_orders"))
+    narrowed = {**tables, "order_items": tables["order_items"].join(ids, "order_id", "left_semi")}
+    items = project(listed_items(narrowed), NORMAL_FORM["order_items"])
+    newest_first = (F.col("order_id").desc(), F.col("order_item_id").desc())
+    own = [F.col(c) for c in visible(items, role).columns if c not in ("order_id", "order_item_id")]
+    picked = F.broadcast(top(items, n, *newest_first, *own))
+    shown = visible(with_category(picked, known_products(tables)), role)
+    rest = [F.col(c) for c in shown.columns if c not in ("order_id", "order_item_id")]
+    return top(shown, n, *newest_first, *rest)
 
 
 def next_item_id(model: Tables) -> DataFrame:

@@ -21,11 +21,11 @@ def visible(df: DataFrame, role: str, policy: Mapping[str, Sequence[str]] = COLU
     return df.drop(*policy[role])
 
 
-def listed_items(items: DataFrame, products: DataFrame) -> DataFrame:
+def with_category(items: DataFrame, products: DataFrame) -> DataFrame:
     return items.join(products, "product_id").select(
         "order_id", "order_item_id", "product_id", "product_category_name", "price", "freight_value"
     )
 
 
 def create_public_view(items: DataFrame, products: DataFrame, name: str = PUBLIC_VIEW) -> None:
-    visible(listed_items(items, products), "analyst").createOrReplaceTempView(name)
+    visible(with_category(items, products), "analyst").createOrReplaceTempView(name)

@@ -60,11 +60,11 @@ def latest_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def admin_listing(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.item_listing(model(spark, folder), "admin")
+    return marts.item_listing(retail(spark, folder), kept_orders(spark, folder), "admin")
 
 
 def public_listing(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.item_listing(model(spark, folder), "analyst")
+    return marts.item_listing(retail(spark, folder), kept_orders(spark, folder), "analyst")
 
 
 def next_item_id(spark: SparkSession, folder: str) -> DataFrame:

@@ -91,13 +91,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def register_folder(spark: SparkSession, folder: str) -> list[str]:
     """Make every ``<name>.csv`` in ``folder`` a view called ``<name>``; returns the names."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = sorted(
-        status.getPath().getName()[: -len(".csv")]
-        for status in file_system.listStatus(hadoop_path)
-        if status.getPath().getName().endswith(".csv")
-    )
+    # Listing paths alone reads no content; there is one per table.
+    paths = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path")
+    names = sorted(row.path.rsplit("/", 1)[1].removesuffix(".csv") for row in paths.collect())
     for name in names:
         read_csv(spark, f"{folder.rstrip('/')}/{name}.csv").createOrReplaceTempView(name)
     return names

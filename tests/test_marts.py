@@ -109,8 +109,8 @@ def test_samples_and_listings(case):
         key=lambda r: r[2:],
     )
     listed.sort(key=lambda r: r[:2], reverse=True)
-    assert [tuple(r) for r in marts.item_listing(full, "admin", 7).collect()] == listed[:7]
-    assert [tuple(r) for r in marts.item_listing(full, "analyst", 7).collect()] == [r[:5] for r in listed[:7]]
+    assert [tuple(r) for r in marts.item_listing(tables, full["orders"], "admin", 7).collect()] == listed[:7]
+    assert [tuple(r) for r in marts.item_listing(tables, full["orders"], "analyst", 7).collect()] == [r[:5] for r in listed[:7]]
     following = {
         (i[0], max(j[1] for j in model["order_items"] if j[0] == i[0]) + 1, i[2], p[1])
         for i in model["order_items"] for p in model["products"] if p[0] == i[2]
