@@ -94,15 +94,17 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Rows low to high with their bytes and offsets, about ``limit`` bytes at a time."""
+def blocks(
+    column: pa.Array, limit: int = BLOCK_BYTES, most_rows: int = 1 << 30
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows low to high with their bytes and offsets, about ``limit`` bytes and at most ``most_rows`` rows at a time."""
     if not len(column):
         return
     data, offsets = texts_of(column)
     low, rows = 0, len(offsets) - 1
     while low < rows:
         high = int(np.searchsorted(offsets, offsets[low] + limit, "right")) - 1
-        high = min(max(high, low + 1), rows)
+        high = min(max(high, low + 1), low + most_rows, rows)
         yield low, high, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
         low = high
 

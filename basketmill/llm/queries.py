@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketmill.llm import decontaminate, secrets
+from basketmill.llm import decontaminate, langid, merkle, secrets
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.fingerprint_documents(_table(spark, folder, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     judged = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return judged.drop("matches")
@@ -20,5 +24,10 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op5_secrets)}
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return langid.identify(docs, langid.train(docs.where(~langid.held_out())))
+
+
+QUERIES = {f.__name__: f for f in (op1_merkle, op3_decontaminate, op5_secrets, op9_language)}
 ORACLE: dict[str, str] = {}
