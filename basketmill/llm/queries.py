@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketmill.llm import decontaminate, langid, merkle, secrets
+from basketmill.llm import decontaminate, langid, merkle, minhash, secrets
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return judged.drop("matches")
 
 
+def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents")).drop("text_hash")
+
+
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, folder, "documents"))
 
@@ -29,5 +33,5 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs.where(~langid.held_out())))
 
 
-QUERIES = {f.__name__: f for f in (op1_merkle, op3_decontaminate, op5_secrets, op9_language)}
+QUERIES = {f.__name__: f for f in (op1_merkle, op3_decontaminate, op4_minhash, op5_secrets, op9_language)}
 ORACLE: dict[str, str] = {}

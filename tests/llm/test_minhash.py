@@ -1,0 +1,126 @@
+import itertools
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from basketmill.llm.arrays import texts_of
+from basketmill.llm.components import components
+from basketmill.llm.minhash import deduplicate, near_duplicates, shingle_sets, sketches, spanning_links
+
+SCHEMA = "doc_id bigint, text string, lang string, node bigint"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text):
+    words = WORD.findall((text or "").translate(LOWER))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_force(rows):
+    """All pairs of documents, linked by their full sets; components by repeated merging."""
+    sets = [shingles(t) for _, t in rows]
+    label = list(range(len(rows)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    posting = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            posting.setdefault(x, []).append(i)
+    pairs = {p for held in posting.values() if len(held) > 1 for p in itertools.combinations(held, 2)}
+    for a, b in pairs:
+        if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            label[root(a)] = root(b)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[root(i)] = min(doc, least.get(root(i), doc))
+    found = [(doc, len(sets[i]), least.get(root(i))) for i, (doc, _) in enumerate(rows)]
+    return sorted(((d, n, c, d == c) for d, n, c in found), key=repr)
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.select("doc_id", "n_shingles", "component_id", "kept").collect()), key=repr)
+
+
+def planted(seed=5, groups=12, size=12, length=120):
+    """Groups of edited copies of one text, so that similarities spread around the threshold."""
+    rng = random.Random(seed)
+    vocabulary = [f"W{i}é" for i in range(3000)]
+    rows = []
+    for _ in range(groups):
+        base = rng.choices(vocabulary, k=length)
+        for _ in range(size):
+            words = list(base)
+            for _ in range(rng.randrange(5)):
+                words[rng.randrange(length)] = rng.choice(vocabulary)
+            rows.append(" ".join(words))
+    return [(i * 3 + 1, t) for i, t in enumerate(rows)]
+
+
+def test_shingle_sets_match_words():
+    texts = ["a b c d e f", "A  B\tc\nd e f", "a b", "b a", None, " \t", "a a a a a a a", "é É"]
+    sets = shingle_sets(*texts_of(pa.array(texts)))
+    assert [len(s) for s in sets] == [len(shingles(t)) for t in texts]
+    assert (sets[0] == sets[1]).all() and sets[2][0] != sets[3][0]
+
+
+def test_sketches_estimate_similarity():
+    rng = np.random.default_rng(3)
+    for share in (0.3, 0.6, 0.85):
+        agree = []
+        for n in (12, 60, 900):
+            common = max(1, int(n * share))
+            values = rng.integers(0, 1 << 63, size=2 * n - common, dtype=np.uint64)
+            table = sketches([values[:n], values[n - common :], np.zeros(0, dtype=np.uint64)])
+            assert (table[:2] != 0xFFFFFFFFFFFFFFFF).all()
+            agree.append((table[0] == table[1]).mean() - common / (2 * n - common))
+        assert np.abs(agree).max() < 0.13
+
+
+def test_spanning_links_are_exact():
+    rows = planted(groups=2, size=20)
+    sets = shingle_sets(*texts_of(pa.array([t for _, t in rows])))
+    want = {tuple(r) for r in brute_force(rows)}
+    label = {d: d for d, _ in rows}
+    for a, b in spanning_links(sets):
+        old, new = label[rows[a][0]], label[rows[b][0]]
+        label = {k: min(old, new) if v in (old, new) else v for k, v in label.items()}
+    assert {d: c for d, _, c, _ in want} == label
+
+
+@pytest.mark.parametrize("block", [6_000_000, 3_000])
+def test_planted_groups(spark, block):
+    rows = planted() + [(5000, None), (5001, ""), (5002, " \n"), (5003, "two words"), (5004, "Two  words"), (None, "two words")]
+    rows += [(None, "only null"), (None, "only null"), rows[0], (6000, rows[0][1].upper()), (6001, "x " * 30_000)]
+    docs = spark.createDataFrame([(*r, "en", 1) for r in rows], SCHEMA).repartition(3)
+    found = got(near_duplicates(docs, block))
+    want = [(d, n, c, d == c) for d, n, c, _ in brute_force(rows)]
+    assert found == sorted(want, key=repr)
+    kept = deduplicate(docs, block)
+    assert kept.columns == docs.columns
+    ids = sorted((r.doc_id for r in kept.collect()), key=repr)
+    assert ids == sorted({d for d, _, c, _ in found if d == c}, key=repr)
+
+
+def test_given_documents(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    assert got(near_duplicates(docs)) == brute_force([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    assert near_duplicates(docs).count() == 0 and deduplicate(docs).count() == 0
+
+
+def test_components_of_a_long_chain(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, 200), (300, 200), (7, 7)]
+    found = {r.node: r.label for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert found == {i: 0 for i in range(61)} | {100: 100, 200: 100, 300: 100}
