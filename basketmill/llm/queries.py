@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketmill.llm import decontaminate, langid, merkle, minhash, secrets
+from basketmill.llm import decontaminate, langid, merkle, minhash, mixing, preference, secrets, urlrules
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,10 +28,36 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan_secrets(_table(spark, folder, "documents"))
 
 
+def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return urlrules.judge_urls(_table(spark, folder, "pages"))
+
+
+def op7_preference(spark: SparkSession, folder: str) -> DataFrame:
+    return preference.preference_segments(preference.neighbour_pairs(_table(spark, folder, "conversations")))
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return langid.identify(docs, langid.train(docs.where(~langid.held_out())))
 
 
-QUERIES = {f.__name__: f for f in (op1_merkle, op3_decontaminate, op4_minhash, op5_secrets, op9_language)}
-ORACLE: dict[str, str] = {}
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels")
+    return mixing.mix(docs, labels.select("doc_id", mixing.label_domain().alias("domain"))).drop("text")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_merkle,
+        op3_decontaminate,
+        op4_minhash,
+        op5_secrets,
+        op6_url_rules,
+        op7_preference,
+        op9_language,
+        op10_mixing,
+    )
+}
+ORACLE: dict[str, str] = {"op7_preference": preference.ORACLE}

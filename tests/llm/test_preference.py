@@ -1,0 +1,60 @@
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from basketmill.llm.preference import neighbour_pairs, preference_segments
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string, part string"
+
+
+def brute_force(rows):
+    """Both sides of a pair, turn number by turn number."""
+    sides = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            sides.setdefault(conv // 2, ([], []))[conv % 2].append((turn, role, text))
+    found = []
+    for pair, both in sides.items():
+        if not all(both):
+            continue
+        order = sorted({t for side in both for t, *_ in side}, key=lambda t: (t is not None, t or 0))
+        common = []
+        for turn in order:
+            chosen, rejected = (Counter((r, x) for t, r, x in side if t == turn) for side in both)
+            if chosen != rejected:
+                break
+            common.append(turn)
+        for side, name in zip(both, ("chosen", "rejected"), strict=True):
+            for turn, role, text in side:
+                shared = turn in common
+                if shared and name == "rejected":
+                    continue
+                head = f"<|{role or ''}|>\n"
+                rendered = f"{head}{text or ''}<|end|>\n"
+                trained = not shared and role == "assistant"
+                mask = (len(head), len(rendered)) if trained else (0, 0)
+                found.append((pair, "prompt" if shared else name, turn, role, rendered, *mask))
+    return sorted(found, key=repr)
+
+
+def got(df):
+    return sorted((tuple(r) for r in preference_segments(neighbour_pairs(df)).collect()), key=repr)
+
+
+def test_pairs(spark):
+    rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "good é"), (1, 0, "user", "hi"), (1, 1, "assistant", "bad")]
+    rows += [(2, 0, "user", "same"), (3, 0, "user", "same")]  # equal sides
+    rows += [(4, 0, "user", "alone")]  # no partner
+    rows += [(6, 0, "user", "x"), (6, 0, "user", "x"), (7, 0, "user", "x"), (7, 1, "assistant", None)]  # repeated turn
+    rows += [(8, None, "system", ""), (8, 0, "user", None), (9, None, "system", ""), (9, 0, "user", "")]  # nulls
+    rows += [(10, 0, "user", "p"), (10, 2, "assistant", "a"), (11, 0, "user", "p"), (11, 1, "user", "q"), (11, 2, "assistant", "a")]
+    rows += [(12, t, "user", "long") for t in range(500)] + [(13, t, "user", "long") for t in range(499)]
+    rows += [(None, 0, "user", "no id"), (14, 0, None, "r"), (15, 0, None, "r"), (15, 1, "assistant", "z" * 50_000)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).withColumn("side", F.lit("clash")).repartition(3)
+    assert got(df) == brute_force(rows)
+
+
+def test_given_and_empty(spark, small):
+    df = spark.read.parquet(f"{small}/conversations.parquet")
+    assert got(df) == brute_force([tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()])
+    assert got(df.where("false")) == []

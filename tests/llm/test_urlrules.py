@@ -1,0 +1,97 @@
+import itertools
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from basketmill.llm.urlrules import LISTED, UrlRule, judge_urls, mine, mined_verdict, without_redundant
+
+SCHEMA = "page_id bigint, url string, host string, rule string"
+
+
+def plain_parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def plain_rule(host, path):
+    fitting = [(len(h + p), h + p, v) for v, h, p in LISTED if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fitting)[1:] if fitting else (None, None)
+
+
+def plain_tokens(url, host, path):
+    query = re.match(r"[^?#]*\?([^#]*)", url or "")
+    found = {f"h:{x}" for x in host.split(".") if x} | {f"p:{x}" for x in re.sub("[0-9]+", "#", path).split("/") if x}
+    found |= {f"q:{x.split('=')[0]}" for x in (query[1].split("&") if query else []) if x.split("=")[0]}
+    return found | ({"f:"} if "#" in (url or "") else set())
+
+
+def brute_force(urls, support, confidence):
+    """Every combination of tokens of every decided page, counted; the best fitting rule decides the rest."""
+    decided, found = [], []
+    for url in urls:
+        host, path = plain_parts(url)
+        name, verdict = plain_rule(host, path)
+        tokens = plain_tokens(url, host, path)
+        found.append([host, path, name, verdict, tokens])
+        if verdict:
+            decided.append((tokens, verdict))
+    total, both = {}, {}
+    for tokens, verdict in decided:
+        for n in range(1, len(tokens) + 1):
+            for some in itertools.combinations(sorted(tokens), n):
+                total[some] = total.get(some, 0) + 1
+                both[some, verdict] = both.get((some, verdict), 0) + 1
+    least = max(support * len(decided), 3)
+    rules = [UrlRule(k, v, n / total[k], n / len(decided)) for (k, v), n in both.items() if n >= least - 1e-9 and n / total[k] >= confidence]
+    for row in found:
+        if row[3] is None:
+            fitting = [(r.confidence, r.support, len(r.tokens), r.verdict) for r in rules if row[4].issuperset(r.tokens)]
+            best = {f[3] for f in fitting if f[0] == max(x[0] for x in fitting)}
+            row[3] = best.pop() if len(best) == 1 else None if best else "allow"
+    return [tuple(r[:4]) for r in found], rules
+
+
+def test_urls(spark):
+    odd = [None, "", "no scheme/net/", "http://", "https://NET/x", "http://a.NET", "http://example.net/en/", "http://xexample.net/en/1",
+           "x://y://z.net/", "http://a.example.com/de/1?u=http://b.org/fr/", "http://é.org/fr/#a#b", "http://org/fr", "http://net?a=/", "http://a/" + "b" * 20000]
+    rng = random.Random(2)
+    made = [
+        f"http://{rng.choice(['www.', 'm.', ''])}{rng.choice(['a', 'b', 'c'])}.example.{rng.choice(['com', 'net', 'org'])}/{rng.choice(['de', 'en', 'fr'])}/"
+        f"{rng.randrange(50)}{rng.choice(['', '?ref=1', '#top', '.html'])}"
+        for _ in range(160)
+    ]
+    urls = odd + made + made[:3]
+    df = spark.createDataFrame([(i if i else None, u, "x", "y") for i, u in enumerate(urls)], SCHEMA).repartition(3)
+    want, _ = brute_force(urls, 0.05, 0.8)
+    found = {r.page_id or 0: (r.host, r.path, r.rule, r.verdict) for r in judge_urls(df, min_support=0.05).collect()}
+    assert len(found) == len(urls)
+    for i, row in enumerate(want):
+        assert found[i][:3] == row[:3]
+        assert row[3] is None or found[i][3] == row[3], urls[i]
+    assert {r[3] for r in want if r[2] is None} >= {"block", "allow"}
+
+
+def test_mined_rules_are_all_rules(spark):
+    rng = random.Random(4)
+    urls = [f"http://{rng.choice('abc')}.{rng.choice(['net', 'org'])}/{rng.choice(['en', 'fr'])}/{rng.choice('xyz')}" for _ in range(80)]
+    rows = [(sorted(plain_tokens(u, *plain_parts(u))), plain_rule(*plain_parts(u))[1]) for u in urls]
+    df = spark.createDataFrame(rows, "tokens array<string>, verdict string").where("verdict IS NOT NULL")
+    _, rules = brute_force(urls, 0.05, 0.8)
+    want = {(r.tokens, r.verdict, round(r.confidence, 9)) for r in without_redundant(rules)}
+    assert {(r.tokens, r.verdict, round(r.confidence, 9)) for r in mine(df, min_support=0.05)} == want
+
+
+def test_index_finds_the_best_rule(spark):
+    rules = [UrlRule(("a",), "allow", 0.8, 0.5), UrlRule(("a", "b"), "block", 0.9, 0.1), UrlRule(("c",), "block", 0.9, 0.1)]
+    df = spark.createDataFrame([(["a"],), (["a", "b"],), (["x"],), ([],), (["c", "a"],)], "tokens array<string>")
+    got = [r[0] for r in df.select(mined_verdict(F.col("tokens"), rules)).collect()]
+    assert got == ["allow", "block", None, None, "block"]
+
+
+def test_empty_table(spark):
+    assert judge_urls(spark.createDataFrame([], SCHEMA)).count() == 0
