@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketmill.llm import decontaminate, langid, merkle, minhash, mixing, preference, secrets, urlrules
+from basketmill.llm import decontaminate, langid, lmscore, merkle, minhash, mixing, preference, secrets, toxicity, urlrules
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,6 +15,11 @@ def op1_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.fingerprint_documents(_table(spark, folder, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, _table(spark, folder, "labels")))
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     judged = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return judged.drop("matches")
@@ -36,6 +41,10 @@ def op7_preference(spark: SparkSession, folder: str) -> DataFrame:
     return preference.preference_segments(preference.neighbour_pairs(_table(spark, folder, "conversations")))
 
 
+def op8_gru(spark: SparkSession, folder: str) -> DataFrame:
+    return lmscore.score_documents(_table(spark, folder, "documents"))
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return langid.identify(docs, langid.train(docs.where(~langid.held_out())))
@@ -51,11 +60,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_merkle,
+        op2_toxicity,
         op3_decontaminate,
         op4_minhash,
         op5_secrets,
         op6_url_rules,
         op7_preference,
+        op8_gru,
         op9_language,
         op10_mixing,
     )
