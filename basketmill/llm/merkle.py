@@ -3,8 +3,8 @@
 A paragraph is a line. A section ends with a blank line, or with a paragraph whose own digest says so
 (one in eight), so that borders stay where they were when text is inserted before them. A paragraph's
 digest covers its bytes, a section's the digests of its paragraphs, the root those of the sections:
-roots are equal just if the texts are. Each paragraph also lists short labels of its pieces, cut at
-sentence ends; the likeness of two trees is the share of labels they have in common, by weight. The
+roots are equal just if the texts are. Each paragraph also lists short labels of its pieces, eight words or
+more up to a sentence end, at most sixteen; the likeness of two trees is the share of labels they have in common, by weight. The
 first pieces of a text are finer and weigh less, so that short texts can be told apart.
 
 A fingerprint is written as ``root:section=paragraph-labels,paragraph-labels/section=...``.
@@ -32,7 +32,7 @@ COARSE_WEIGHT = 4
 LABEL = 6
 _PARAGRAPH = re.compile(rb"[^\n]*\n|[^\n]+")
 _FINE = re.compile(rb"(?:[^\s.!?]+\s*){0,1}\S+\s*|\s+")
-_COARSE = re.compile(rb"(?:[^\s.!?]+\s*){0,15}\S+\s*|\s+")
+_COARSE = re.compile(rb"(?:\S+\s+){0,7}(?:[^\s.!?]+\s+){0,8}\S+\s*|\s+")
 
 Tree = list[tuple[str, list[tuple[str, list[str]]]]]
 
