@@ -17,7 +17,7 @@ from basketmill.llm import decontaminate, langid, minhash, mixing, secrets
 from basketmill.llm.staging import written
 
 # Below this calibrated probability a language counts as unknown.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
