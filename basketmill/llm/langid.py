@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from basketmill.llm.arrays import blocks, id_and_text, mix
 
 FEATURES = 1 << 13
-TRAIN_DOCS = 6000
+TRAIN_DOCS = 3000
 MAX_LANGUAGES = 400
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.01, 0.01
@@ -105,7 +105,7 @@ def follow_the_leader(rows: list[tuple[np.ndarray, np.ndarray]], classes: np.nda
     order = np.random.default_rng(7)
     for _ in range(EPOCHS):
         for i in order.permutation(len(rows)):
-            at = np.append(rows[i][0], width)
+            at = np.append(rows[i][0].astype(np.int64), width)
             x = np.append(rows[i][1], 1.0)[:, None]
             w = solved(z[at], n[at])
             error = softmax((x * w).sum(axis=0))
@@ -156,7 +156,7 @@ def _sparse(batches):
         for _, _, counts, _ in _tables(batch):
             for row in counts:
                 at = np.flatnonzero(row)
-                cells.append((at.astype(np.int32).tobytes(), row[at].astype(np.int64).tobytes()))
+                cells.append((at.astype(np.uint16).tobytes(), row[at].astype(np.uint32).tobytes()))
         yield pa.RecordBatch.from_pydict(
             {
                 "lang": batch.column("lang"),
@@ -185,13 +185,13 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     chosen = known.withColumn("place", place).where(F.col("place") < F.try_element_at(rate, F.col("lang")))
     cells = chosen.select("lang", "place", "text").mapInArrow(_sparse, "lang string, place double, at binary, n binary")
-    sample = cells.orderBy("place", "lang", F.xxhash64("at", "n")).limit(2 * train_docs).collect()
+    sample = cells.orderBy("place", "lang", F.xxhash64("at", "n")).limit(2 * train_docs).select("lang", "at", "n").toArrow()
     languages = sorted(r["lang"] for r in sizes)
-    classes = np.array([languages.index(r["lang"]) for r in sample])
+    classes = np.array([languages.index(lang) for lang in sample["lang"].to_pylist()])
     rows = []
-    for r in sample:
-        at = np.frombuffer(r["at"], dtype=np.int32)
-        x = np.log1p(np.frombuffer(r["n"], dtype=np.int64)) * idf[at]
+    for at, n in zip(sample["at"], sample["n"], strict=True):
+        at = np.frombuffer(at.as_buffer(), dtype=np.uint16)
+        x = np.log1p(np.frombuffer(n.as_buffer(), dtype=np.uint32), dtype=np.float32) * idf[at]
         rows.append((at, x / max(np.sqrt((x * x).sum()), 1e-9)))
     apart = np.arange(len(rows)) % 5 == 0 if len(rows) >= 50 else np.zeros(len(rows), dtype=bool)
     learned = follow_the_leader([r for r, a in zip(rows, apart, strict=True) if not a], classes[~apart], len(languages), FEATURES)
