@@ -2,8 +2,8 @@
 
     python -m basketmill.jobs --input-dir raw --output out
 
-writes ``out/wide`` (CSV), ``out/<table>`` (Parquet) and ``out/validation`` (CSV), and ends with code 1
-if a file or column is missing or a check fails.
+writes ``out/wide`` (CSV), ``out/wide_raw``, ``out/wide_table`` and ``out/<table>`` (Parquet) and
+``out/validation`` (CSV), and ends with code 1 if a file or column is missing or a check fails.
 """
 
 from __future__ import annotations
@@ -16,24 +16,35 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketmill.operators import cleaning, modelling, quality
-from basketmill.schemas import NORMAL_FORM, RAW, REFERENCES, WIDE
-from basketmill.session import tune
-from basketmill.sources.files import load_typed, read_raw_tables, write_csv
+from basketmill.schemas import FREE_TEXT, NORMAL_FORM, RAW, REFERENCES, WIDE
+from basketmill.sources.files import land_csv, load_typed, unfit_counts, write_csv
+
+
+def land_raw_tables(spark: SparkSession, folder: str, landing: str, pattern: str = "{name}.csv") -> dict[str, DataFrame]:
+    """The raw CSV files, each read once and landed as typed Parquet under ``landing``."""
+    return {
+        name: land_csv(
+            spark, f"{folder.rstrip('/')}/{pattern.format(name=name)}", schema, f"{landing.rstrip('/')}/{name}", name in FREE_TEXT
+        )
+        for name, schema in RAW.items()
+    }
 
 
 def clean_files(spark: SparkSession, folder: str, output: str, pattern: str = "{name}.csv") -> DataFrame:
-    """Raw CSV files to the wide CSV; returns the cleaning report."""
-    raw = read_raw_tables(spark, folder, RAW, pattern)
+    """Raw CSV files to the wide CSV; returns the cleaning report, with the raw values that did not fit their type."""
+    landed = land_raw_tables(spark, folder, f"{output.rstrip('/')}_raw", pattern)
+    raw = {name: df.select(*RAW[name].names) for name, df in landed.items()}
     write_csv(cleaning.clean_wide(raw), output)
-    return cleaning.cleaning_report(raw)
+    return cleaning.cleaning_report(raw).unionByName(unfit_counts(landed))
 
 
 def load_normal_form(spark: SparkSession, wide_path: str, folder: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """The stored wide CSV, and its five projections written under ``folder`` and read back.
+    """The wide CSV landed as Parquet, and its five projections written under ``folder`` and read back.
 
-    A row that does not fit the declared types stops the load.
+    The CSV is read once; the projections and later checks read the landed table. A row that does not fit
+    the declared types stops the load.
     """
-    wide, bad = load_typed(spark, wide_path, WIDE)
+    wide, bad = load_typed(spark, wide_path, WIDE, f"{folder.rstrip('/')}/wide_table")
     unfit = bad.limit(1).collect()
     if unfit:
         raise ValueError(f"row does not fit the declared types: {unfit[0].asDict()}")
@@ -83,7 +94,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--output", required=True, help="a folder that does not exist yet")
     parser.add_argument("--pattern", default="{name}.csv", help="file name of a raw table")
     chosen = parser.parse_args(arguments)
-    spark = tune(SparkSession.builder.appName("basketmill").getOrCreate())
+    spark = SparkSession.builder.appName("basketmill").getOrCreate()
     try:
         return 0 if run(spark, chosen.input_dir, chosen.output, chosen.pattern) else 1
     except (AnalysisException, ValueError) as error:

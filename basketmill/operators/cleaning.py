@@ -7,8 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from basketmill.functions.parsing import parse_time, time_text
-from basketmill.operators.skew import MAX_GROUP_ROWS, join_repeated
 from basketmill.schemas import DEFAULT_SCORE, ORDER_TIMES, UNKNOWN_CATEGORY, WIDE_COLUMNS
+from basketmill.session import stage
 
 Tables = Mapping[str, DataFrame]
 
@@ -32,18 +32,16 @@ def owned_orders(tables: Tables) -> DataFrame:
     return delivered_orders(tables["orders"]).join(tables["customers"], "customer_id")
 
 
-def clean_wide(tables: Tables, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def clean_wide(tables: Tables) -> DataFrame:
     """One row per delivered order, item and review.
 
-    Items meet products before orders and reviews multiply them, so the wider rows are never
-    exchanged again: everything after that joins on the order id. Orders or products with very many
-    items are split by Spark; orders with very many reviews are taken aside.
+    Items meet products before orders and reviews multiply them, so the wider rows are never exchanged
+    again. Reviewed orders are written in between: as a scan they come to the last join by an exchange of
+    their own, as the items do, so that Spark can split an order, or a product, with very many rows.
     """
     described = tables["order_items"].join(filled_products(tables["products"]), "product_id")
-    bought = owned_orders(tables).join(described, "order_id")
-    return join_repeated(bought, filled_reviews(tables["order_reviews"]), "order_id", max_group_rows).select(
-        *WIDE_COLUMNS
-    )
+    reviewed = owned_orders(tables).join(filled_reviews(tables["order_reviews"]), "order_id").drop("customer_id")
+    return described.join(stage(reviewed, "reviewed_orders"), "order_id").select(*WIDE_COLUMNS)
 
 
 def order_tally(tables: Tables) -> DataFrame:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketmill.functions.labels import group_label, in_years, quarter_label, safe_ratio
-from basketmill.operators.cleaning import Tables, clean_wide
-from basketmill.operators.modelling import known_products, listed_items, project
+from basketmill.functions.parsing import parse_time
+from basketmill.operators.cleaning import Tables, clean_wide, filled_reviews, owned_orders
+from basketmill.operators.modelling import kept_orders, known_products, listed_items, project
 from basketmill.operators.policy import visible, with_category
-from basketmill.operators.relational import top
+from basketmill.operators.relational import owned_by, present_in, top
 from basketmill.schemas import NORMAL_FORM, WIDE_COLUMNS
 from basketmill.session import stage
 
@@ -30,24 +31,46 @@ def headline_metrics(model: Tables) -> DataFrame:
     return rows.agg(*[F.max(c).alias(c) for c in ("total_orders", "total_customers", "avg_score")])
 
 
-def _reviewed_orders(model: Tables, first_year: int, last_year: int) -> DataFrame:
-    """Orders of the period with their delivery status and their scores already summed per order."""
-    scores = model["order_reviews"].groupBy("order_id").agg(
+def period_orders(tables: Tables, first_year: int, last_year: int) -> DataFrame:
+    """Delivered orders of known customers bought in the period, without copies."""
+    owned = owned_orders({**tables, "orders": tables["orders"].filter(_in_period(first_year, last_year))})
+    return project(owned, NORMAL_FORM["orders"])
+
+
+def _in_period(first_year: int, last_year: int) -> Column:
+    return in_years(parse_time(F.col("order_purchase_timestamp")), first_year, last_year)
+
+
+def period_items(tables: Tables, orders: DataFrame) -> DataFrame:
+    """The distinct items of ``orders`` whose product is known: the period is cut before items meet products."""
+    items = owned_by(tables["order_items"], orders, ["order_id"])
+    return project(owned_by(items, known_products(tables), ["product_id"]), NORMAL_FORM["order_items"])
+
+
+def _reviewed_orders(tables: Tables, first_year: int, last_year: int) -> DataFrame:
+    """Orders of the period with their delivery status and their scores already summed per order.
+
+    The join with the scores drops orders without a review; orders without a listed item are dropped by key.
+    """
+    reviews = project(filled_reviews(tables["order_reviews"]), NORMAL_FORM["order_reviews"])
+    scores = reviews.groupBy("order_id").agg(
         F.sum("review_score").alias("score_sum"), F.count("review_score").alias("score_count")
     )
     late = F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date")
+    orders = stage(period_orders(tables, first_year, last_year), "period_orders")
+    items = owned_by(tables["order_items"].select("order_id", "product_id"), orders, ["order_id"])
+    listed = owned_by(items, known_products(tables), ["product_id"])
     return (
-        model["orders"]
-        .filter(in_years(F.col("order_purchase_timestamp"), first_year, last_year))
+        present_in(orders, listed, ["order_id"])
         .join(scores, "order_id")
         .withColumn("delivery_status", F.when(late, F.lit(LATE)).otherwise(F.lit(ON_TIME)))
     )
 
 
-def delivery_satisfaction(model: Tables, first_year: int, last_year: int) -> DataFrame:
+def delivery_satisfaction(tables: Tables, first_year: int, last_year: int) -> DataFrame:
     """Mean score per review and number of orders, late against on time."""
     return (
-        _reviewed_orders(model, first_year, last_year)
+        _reviewed_orders(tables, first_year, last_year)
         .groupBy("delivery_status")
         .agg(
             F.round(F.try_divide(F.sum("score_sum"), F.sum("score_count")), 2).alias("avg_score"),
@@ -56,10 +79,10 @@ def delivery_satisfaction(model: Tables, first_year: int, last_year: int) -> Dat
     )
 
 
-def delivery_satisfaction_by_order(model: Tables, first_year: int, last_year: int) -> DataFrame:
+def delivery_satisfaction_by_order(tables: Tables, first_year: int, last_year: int) -> DataFrame:
     """The same with every order weighing one, whatever its number of reviews."""
     return (
-        _reviewed_orders(model, first_year, last_year)
+        _reviewed_orders(tables, first_year, last_year)
         .groupBy("delivery_status")
         .agg(
             F.round(F.avg(F.try_divide(F.col("score_sum"), F.col("score_count"))), 2).alias("avg_score"),
@@ -86,24 +109,24 @@ def score_gap(satisfaction: DataFrame, threshold: float = 1.0) -> DataFrame:
 
 
 def category_repurchase(
-    model: Tables, groups: Mapping[str, Sequence[str]], first_year: int, last_year: int
+    tables: Tables, groups: Mapping[str, Sequence[str]], first_year: int, last_year: int
 ) -> DataFrame:
     """Per category group: mean spend of a customer, share with two or more orders, customers."""
     members = [name for names in groups.values() for name in names]
-    wanted = model["products"].filter(F.col("product_category_name").isin(*members)).select(
+    wanted = known_products(tables).filter(F.col("product_category_name").isin(*members)).select(
         "product_id", group_label(F.col("product_category_name"), groups).alias("category_group")
     )
-    # Spend per order and group first: a product sold a million times shrinks before orders join.
+    orders = stage(present_in(period_orders(tables, first_year, last_year), tables["order_reviews"], ["order_id"]), "period_orders")
+    # Spend per order and group first: a product sold a million times shrinks before orders join. An order
+    # with such spend has a listed item, so no other lookup of its items is needed.
+    items = project(owned_by(tables["order_items"], orders, ["order_id"]), NORMAL_FORM["order_items"])
     spend = (
-        model["order_items"]
-        .join(wanted, "product_id")
+        items.join(wanted, "product_id")
         .groupBy("order_id", "category_group")
         .agg(F.sum(F.col("price") + F.col("freight_value")).alias("amount"))
     )
     per_customer = (
-        model["orders"]
-        .filter(in_years(F.col("order_purchase_timestamp"), first_year, last_year))
-        .join(spend, "order_id")
+        orders.join(spend, "order_id")
         .groupBy("category_group", "customer_unique_id")
         .agg(F.count_distinct("order_id").alias("order_count"), F.sum("amount").alias("total_amount"))
     )
@@ -114,26 +137,19 @@ def category_repurchase(
     )
 
 
-def _priced_orders(model: Tables, year: int, per_order: DataFrame) -> DataFrame:
-    return (
-        model["orders"]
-        .filter(in_years(F.col("order_purchase_timestamp"), year, year))
-        .select("order_id", F.quarter("order_purchase_timestamp").alias("quarter"))
-        .join(per_order, "order_id")
-    )
+def _priced_orders(tables: Tables, year: int, per_order: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Quarter and ``per_order`` of its priced items for every kept order of the year that has one."""
+    orders = stage(present_in(period_orders(tables, year, year), tables["order_reviews"], ["order_id"]), "period_orders")
+    values = per_order(period_items(tables, orders).filter(F.col("price") > 0).groupBy("order_id"))
+    return orders.select("order_id", F.quarter("order_purchase_timestamp").alias("quarter")).join(values, "order_id")
 
 
-def freight_by_quarter(model: Tables, year: int) -> DataFrame:
+def freight_by_quarter(tables: Tables, year: int) -> DataFrame:
     """Mean freight share of the price per item, by quarter of purchase."""
     ratio = safe_ratio(F.col("freight_value"), F.col("price"))
-    per_order = (
-        model["order_items"]
-        .filter(F.col("price") > 0)
-        .groupBy("order_id")
-        .agg(F.sum(ratio).alias("ratio_sum"), F.count(ratio).alias("ratio_count"), F.count(F.lit(1)).alias("items"))
-    )
+    sums = (F.sum(ratio).alias("ratio_sum"), F.count(ratio).alias("ratio_count"), F.count(F.lit(1)).alias("items"))
     return (
-        _priced_orders(model, year, per_order)
+        _priced_orders(tables, year, lambda items: items.agg(*sums))
         .groupBy("quarter")
         .agg(
             F.round(F.try_divide(F.sum("ratio_sum"), F.sum("ratio_count")) * 100, 2).alias("freight_ratio"),
@@ -144,16 +160,11 @@ def freight_by_quarter(model: Tables, year: int) -> DataFrame:
     )
 
 
-def freight_by_quarter_by_order(model: Tables, year: int) -> DataFrame:
+def freight_by_quarter_by_order(tables: Tables, year: int) -> DataFrame:
     """The same with the share taken per order, each order weighing one."""
-    per_order = (
-        model["order_items"]
-        .filter(F.col("price") > 0)
-        .groupBy("order_id")
-        .agg(F.sum("freight_value").alias("freight"), F.sum("price").alias("price"))
-    )
+    sums = (F.sum("freight_value").alias("freight"), F.sum("price").alias("price"))
     return (
-        _priced_orders(model, year, per_order)
+        _priced_orders(tables, year, lambda items: items.agg(*sums))
         .groupBy("quarter")
         .agg(
             F.round(F.avg(safe_ratio(F.col("freight"), F.col("price"))) * 100, 2).alias("freight_ratio"),
@@ -182,17 +193,26 @@ def q4_freight_gap(by_quarter: DataFrame) -> DataFrame:
     )
 
 
-def wide_sample(model: Tables, n: int = 50) -> DataFrame:
+def _first_ids(rows: DataFrame, n: int, *order: Column) -> DataFrame:
+    """The order ids of the first rows, ``n`` different ones or all, as a stored table."""
+    firsts = rows.groupBy("order_id").agg(F.min(F.struct(*order)).alias("_place"))
+    return stage(top(firsts, n, F.col("_place"), F.col("order_id")).select("order_id"), "first_ids")
+
+
+def wide_sample(tables: Tables, n: int = 50) -> DataFrame:
     """The first ``n`` rows of orders, items, products and reviews together, by order id.
 
-    Every order of the model has at least one row, so only the first ``n`` orders are joined.
+    Every kept order has at least one row, so only the first ``n`` order ids are joined, with all order rows
+    under them.
     """
-    by_id = ("order_id", *[c for c in model["orders"].columns if c != "order_id"])
-    first = F.broadcast(stage(top(model["orders"], n, *map(F.col, by_id)), "first_orders"))
-    ids = F.broadcast(first.select("order_id").distinct())
-    items = model["order_items"].join(ids, "order_id", "left_semi")
-    reviews = model["order_reviews"].join(ids, "order_id", "left_semi")
-    rows = first.join(items, "order_id").join(model["products"], "product_id").join(reviews, "order_id").select(
+    ids = _first_ids(kept_orders(tables), n, F.col("order_id"))
+    narrowed = dict(tables)
+    for name in ("orders", "order_items", "order_reviews"):
+        narrowed[name] = tables[name].join(ids, "order_id", "left_semi")
+    first = project(owned_orders(narrowed), NORMAL_FORM["orders"])
+    items = project(narrowed["order_items"], NORMAL_FORM["order_items"])
+    reviews = project(filled_reviews(narrowed["order_reviews"]), NORMAL_FORM["order_reviews"])
+    rows = first.join(items, "order_id").join(known_products(tables), "product_id").join(reviews, "order_id").select(
         "order_id",
         "customer_unique_id",
         "order_purchase_timestamp",
@@ -210,14 +230,14 @@ def wide_sample(model: Tables, n: int = 50) -> DataFrame:
         "order_estimated_delivery_date")])
 
 
-def latest_rows(tables: Tables, orders: DataFrame, n: int = 10) -> DataFrame:
+def latest_rows(tables: Tables, n: int = 10) -> DataFrame:
     """The ``n`` wide rows bought last.
 
-    They belong to the ``n`` kept ``orders`` bought last, so only those are widened.
+    They belong to the ``n`` kept order ids bought last, so only those are widened.
     """
     bought = F.col("order_purchase_timestamp").desc()
-    newest = top(orders, n, bought, F.col("order_id")).select("order_id").distinct()
-    ids = F.broadcast(stage(newest, "newest_orders"))
+    newest = top(kept_orders(tables).groupBy("order_id").agg(F.max("order_purchase_timestamp").alias("order_purchase_timestamp")), n, bought, F.col("order_id"))
+    ids = stage(newest.select("order_id"), "newest_orders")
     narrowed = dict(tables)
     for name in ("orders", "order_items", "order_reviews"):
         narrowed[name] = tables[name].join(ids, "order_id", "left_semi")
@@ -228,32 +248,35 @@ def latest_rows(tables: Tables, orders: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def item_listing(tables: Tables, orders: DataFrame, role: str, n: int = 200) -> DataFrame:
+def item_listing(tables: Tables, role: str, n: int = 200) -> DataFrame:
     """The last ``n`` items by order and item number, in the columns ``role`` may see.
 
-    Every kept order has an item and every listed item its product, so the last orders are picked
-    first, then the last of their items, and only those meet the products.
+    Every kept order has an item and every listed item its product, so the last ``n`` different order ids are
+    picked first, then the last of their items, and only those meet the products.
     """
-    newest = top(orders, n, F.col("order_id").desc()).select("order_id").distinct()
-    ids = F.broadcast(stage(newest, "last_orders"))
+    ids = stage(top(kept_orders(tables).select("order_id").distinct(), n, F.col("order_id").desc()), "last_orders")
     narrowed = {**tables, "order_items": tables["order_items"].join(ids, "order_id", "left_semi")}
     items = project(listed_items(narrowed), NORMAL_FORM["order_items"])
     newest_first = (F.col("order_id").desc(), F.col("order_item_id").desc())
     own = [F.col(c) for c in visible(items, role).columns if c not in ("order_id", "order_item_id")]
-    picked = F.broadcast(top(items, n, *newest_first, *own))
+    picked = top(items, n, *newest_first, *own)
     shown = visible(with_category(picked, known_products(tables)), role)
     rest = [F.col(c) for c in shown.columns if c not in ("order_id", "order_item_id")]
     return top(shown, n, *newest_first, *rest)
 
 
 def next_item_id(model: Tables) -> DataFrame:
-    """For every order and product in it, the next free item number of the order."""
-    # One row per order and product, with the order's last number from a grouped maximum rather
-    # than a window, so that an order with very many items is not held by one task.
-    last = model["order_items"].groupBy("order_id").agg(F.max("order_item_id").alias("last_id"))
-    pairs = model["order_items"].select("order_id", "product_id").distinct()
+    """For every order and product in it, the next free item number of the order.
+
+    One row per order and product with its last number, and from these the order's. Both are written, so that
+    an order with very many products comes to their join by an exchange that Spark can split.
+    """
+    pairs = model["order_items"].groupBy("order_id", "product_id").agg(F.max("order_item_id").alias("last_id"))
+    pairs = stage(pairs, "order_products")
+    last = stage(pairs.groupBy("order_id").agg(F.max("last_id").alias("last_id")), "last_items")
     return (
-        pairs.join(model["products"], "product_id")
+        pairs.drop("last_id")
+        .join(model["products"], "product_id")
         .join(last, "order_id")
         .select(
             "order_id",
@@ -262,5 +285,3 @@ def next_item_id(model: Tables) -> DataFrame:
             "product_category_name",
         )
     )
-
-

@@ -34,51 +34,33 @@ def listed_items(tables: Tables) -> DataFrame:
     return owned_by(tables["order_items"], known_products(tables), ["product_id"])
 
 
-def kept_orders(tables: Tables) -> DataFrame:
-    """Orders of the wide table without widening: those that find partners in all other tables."""
-    orders = present_in(owned_orders(tables), listed_items(tables), ["order_id"])
-    return project(present_in(orders, tables["order_reviews"], ["order_id"]), NORMAL_FORM["orders"])
-
-
-def stored_orders(tables: Tables) -> DataFrame:
-    """The kept orders, written to the shared folder and read back.
+def kept_orders(tables: Tables, listed: DataFrame | None = None) -> DataFrame:
+    """Orders of the wide table without widening: those that find partners in all other tables.
 
-    Finding them takes most of the joins and every other table follows from them. As a scan they
-    can also meet crowded items or reviews in a join that Spark is able to split.
+    ``listed`` may be the listed items as a stored table.
     """
-    return stage(kept_orders(tables), "orders")
+    listed = listed_items(tables) if listed is None else listed
+    orders = present_in(owned_orders(tables), listed, ["order_id"])
+    return project(present_in(orders, tables["order_reviews"], ["order_id"]), NORMAL_FORM["orders"])
 
 
-def normal_form(tables: Tables, orders: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The same five tables straight from the raw ones, given the kept orders.
+def normal_form(tables: Tables) -> dict[str, DataFrame]:
+    """The same five tables straight from the raw ones, each written once and read back.
 
     A row of a raw table reaches the wide table exactly when it finds partners in all the others, so
     its projection is a chain of semi joins. No row is multiplied, and only keys are exchanged
-    besides the table itself.
+    besides the table itself. The listed items are read from the raw table once: the orders, the kept items
+    and the products follow from the stored copy. As scans the tables can also meet crowded partners in a
+    join that Spark is able to split.
     """
-    orders = stored_orders(tables) if orders is None else orders
-    items = owned_by(listed_items(tables), orders, ["order_id"])
+    listed = stage(project(listed_items(tables), NORMAL_FORM["order_items"]), "listed_items")
+    orders = stage(kept_orders(tables, listed), "orders")
+    items = stage(owned_by(listed, orders, ["order_id"]), "order_items")
     rows = {
         "customers": orders,
         "products": present_in(known_products(tables), items, ["product_id"]),
-        "orders": orders,
-        "order_items": items,
         "order_reviews": owned_by(filled_reviews(tables["order_reviews"]), orders, ["order_id"]),
     }
-    return {name: project(rows[name], spec) for name, spec in NORMAL_FORM.items()}
-
-
-def joinable_form(tables: Tables, with_products: bool) -> dict[str, DataFrame]:
-    """The normal form for queries that join everything to ``orders``.
-
-    That join drops the items and reviews of other orders by itself, so they are not looked up
-    twice. With ``with_products`` the query also joins items to ``products``, which does the same for
-    items of unknown products.
-    """
-    rows = {
-        "products": known_products(tables),
-        "orders": kept_orders(tables),
-        "order_items": tables["order_items"] if with_products else listed_items(tables),
-        "order_reviews": filled_reviews(tables["order_reviews"]),
-    }
-    return {name: project(df, NORMAL_FORM[name]) for name, df in rows.items()}
+    stored = {name: stage(project(df, NORMAL_FORM[name]), name) for name, df in rows.items()}
+    stored |= {"orders": orders, "order_items": items}
+    return {name: stored[name] for name in NORMAL_FORM}

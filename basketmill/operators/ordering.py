@@ -1,156 +1,105 @@
 """Row numbers, ranks and previous values that hold when one group has a third of the rows.
 
-A window over a group runs in one task. Groups of ordinary size go that way. Rows of larger groups,
-and numberings without any group, are sorted across the cluster instead: the range exchange cuts
-on the whole sort key, so it also cuts inside a group. The sorted rows are written to the shared
-folder once, and every row then finds its place from its position in its own part plus the number
-of rows in the parts before it.
+A window over a group runs in one task. Here all rows, whatever the size of their group, go one way:
+they are sorted across the cluster, and the range exchange cuts on the whole sort key, so it also
+cuts inside a group. The sorted rows are written to the shared folder once. A row's place is its place
+in its own part plus the rows of its group in the parts before; only a group that reaches over a border has
+any, so what is carried from part to part is one row per part.
 
 ``order_by`` must name a total order, as it must for any repeatable row number.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from basketmill.operators.skew import MAX_GROUP_ROWS, crowded_groups
 from basketmill.session import stage
 
 _PART, _SEQ = "_part", "_seq"
 
 
-def _place(df: DataFrame, order_by: Sequence, name: str) -> DataFrame:
+def _place(df: DataFrame, order_by: Sequence, name: str, stored: bool = False) -> DataFrame:
+    # Sorting reads its input twice, once for the borders: compute it once.
     return stage(
-        df.orderBy(*order_by)
+        (df if stored else stage(df, f"{name}_rows"))
+        .orderBy(*order_by)
         .withColumn(_PART, F.spark_partition_id())
         .withColumn(_SEQ, F.monotonically_increasing_id()),
         name,
     )
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
-    return reduce(Column.__and__, [left[k].eqNullSafe(right[f"{prefix}{k}"]) for k in keys])
-
-
 def number_rows(df: DataFrame, order_by: Sequence, name: str = "id") -> DataFrame:
     """Dense numbers 1..n over all rows in the given order."""
     placed = _place(df, order_by, "numbered")
-    # One row per sorted part, however many rows there are: small enough for one window and a broadcast.
+    # One row per sorted part, however many rows there are: small enough for one window.
     parts = placed.groupBy(_PART).agg(F.min(_SEQ).alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(
-        F.col(_PART).alias("_of"), "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
+    parts = parts.select(_PART, "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     return (
-        placed.join(F.broadcast(parts), placed[_PART] == parts["_of"])
+        placed.join(F.broadcast(parts), _PART)
         .withColumn(name, F.col("_before") + F.col(_SEQ) - F.col("_first") + 1)
         .select(name, *df.columns)
     )
 
 
-def _rank_by_window(df: DataFrame, keys, order_by, name: str) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
-    return df.withColumn(name, place.cast("long"))
-
-
-def _rank_by_sort(df: DataFrame, keys, order_by, name: str) -> DataFrame:
-    placed = _place(df, [*keys, *order_by], "ranked")
-    # A group is one run of rows per part it reaches into, so there are at most groups + parts runs.
-    runs = placed.groupBy(*keys, _PART).agg(F.min(_SEQ).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select(
-        *[F.col(k).alias(f"_of_{k}") for k in keys],
-        F.col(_PART).alias("_of"),
-        "_first",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-    )
-    return (
-        placed.join(runs, (placed[_PART] == runs["_of"]) & _same(placed, runs, keys, "_of_"))
-        .withColumn(name, F.col("_before") + F.col(_SEQ) - F.col("_first") + 1)
-        .select(*df.columns, name)
-    )
+def _at_borders(placed: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
+    """Per part, as one row: its first group, how many rows of that group lie in parts before, and the last ``value`` among them.
 
-
-def _by_size(
-    df: DataFrame,
-    keys: Sequence[str],
-    max_group_rows: int,
-    counted: DataFrame | None,
-    by_window: Callable[[DataFrame], DataFrame],
-    by_sort: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """Rows of ordinary groups through ``by_window``, the others through ``by_sort``."""
-    crowded = crowded_groups(df if counted is None else counted, keys, max_group_rows)
-    if crowded is None:
-        return by_window(df)
-    # The rows are read for sampling, for sorting and for the ordinary groups: compute them once.
-    df = stage(df, "ungrouped")
-    if crowded is True:
-        return by_sort(df)
-    crowded = F.broadcast(crowded.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
-    hot = _same(df, crowded, keys, "_hot_")
-    return by_window(df.join(crowded, hot, "left_anti")).unionByName(by_sort(df.join(crowded, hot, "left_semi")))
-
-
-def rank_in_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence,
-    name: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    counted: DataFrame | None = None,
-) -> DataFrame:
-    """``row_number()`` per group; groups above ``max_group_rows`` are spread over many tasks.
-
-    ``counted`` may be a cheaper frame with at least the same rows per group, to find those groups.
+    A part whose last group is also its first holds nothing else, so its rows add to those before.
     """
-    return _by_size(
-        df,
-        keys,
-        max_group_rows,
-        counted,
-        lambda part: _rank_by_window(part, keys, order_by, name),
-        lambda part: _rank_by_sort(part, keys, order_by, name),
+    key = F.struct(*[F.col(k) for k in keys])
+    rows = placed.select(_PART, _SEQ, key.alias("_key"), value.alias("_value"))
+    ends = rows.groupBy(_PART).agg(
+        F.min_by("_key", _SEQ).alias("_head"),
+        F.max_by("_key", _SEQ).alias("_tail"),
+        F.max_by(F.struct("_value"), _SEQ).alias("_last"),
+    )
+    # How many rows the last group of each part has in it: a count per part, combined before the exchange.
+    of_tail = rows.join(F.broadcast(ends.select(_PART, "_tail")), _PART).where(F.col("_key").eqNullSafe(F.col("_tail")))
+    ends = ends.join(of_tail.groupBy(_PART).agg(F.count(F.lit(1)).alias("_n")), _PART)
+    # One row per sorted part: small enough for one window.
+    before = Window.partitionBy("_tail").orderBy(_PART)
+    running = ends.withColumn("_upto", F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    in_order = Window.orderBy(_PART)
+    return running.select(
+        F.col(_PART).alias("_of"),
+        F.col("_head"),
+        F.lag("_tail").over(in_order).alias("_tail_before"),
+        F.lag("_upto").over(in_order).alias("_rows_before"),
+        F.lag("_last").over(in_order).alias("_last_before"),
     )
 
 
-def _previous_by_window(df: DataFrame, keys, order_by, value: str, name: str, default: Column) -> DataFrame:
-    in_order = Window.partitionBy(*keys).orderBy(*order_by)
-    return df.withColumn(
-        name, F.when(F.row_number().over(in_order) == 1, default).otherwise(F.lag(value).over(in_order))
-    )
+def _with_borders(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence, value: Column, name: str, stored: bool = False
+) -> tuple[DataFrame, Column]:
+    """Sorted rows beside what lies before their part, and whether a row's group reaches back over the border."""
+    placed = _place(df, [*keys, *order_by], name, stored)
+    borders = _at_borders(placed, keys, value)
+    joined = placed.join(F.broadcast(borders), placed[_PART] == borders["_of"])
+    own = F.struct(*[F.col(k) for k in keys])
+    reaches = F.col("_tail_before").isNotNull() & own.eqNullSafe(F.col("_tail_before"))
+    return joined, reaches
 
 
-def _previous_by_sort(df: DataFrame, keys, order_by, value: str, name: str, default: Column) -> DataFrame:
-    """Inside a run the row before; at its start the last value of the group's run before."""
-    placed = _place(df, [*keys, *order_by], "previous")
-    last = placed.groupBy(*keys, _PART).agg(F.max_by(value, _SEQ).alias("_last"))
-    runs = _previous_by_window(last, keys, [_PART], "_last", "_start", default).select(
-        *[F.col(k).alias(f"_of_{k}") for k in keys], F.col(_PART).alias("_of"), "_start"
-    )
-    joined = placed.join(runs, (placed[_PART] == runs["_of"]) & _same(placed, runs, keys, "_of_"))
-    return _previous_by_window(joined, [*keys, _PART], [_SEQ], value, name, F.col("_start")).select(*df.columns, name)
+def rank_in_group(df: DataFrame, keys: Sequence[str], order_by: Sequence, name: str, stored: bool = False) -> DataFrame:
+    """``row_number()`` per group. ``stored`` says that ``df`` is a scan, which need not be written first."""
+    joined, reaches = _with_borders(df, keys, order_by, F.lit(None).cast("int"), "ranked", stored)
+    # A window inside one part: no group is ever larger than a part here.
+    place = F.row_number().over(Window.partitionBy(_PART, *keys).orderBy(_SEQ)).cast("long")
+    before = F.when(reaches, F.col("_rows_before")).otherwise(F.lit(0))
+    return joined.withColumn(name, place + before).select(*df.columns, name)
 
 
 def previous_in_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence,
-    value: str,
-    name: str,
-    default: Column,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    counted: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order_by: Sequence, value: str, name: str, default: Column
 ) -> DataFrame:
-    """``lag(value)`` per group, ``default`` on each group's first row; spread like ``rank_in_group``."""
-    return _by_size(
-        df,
-        keys,
-        max_group_rows,
-        counted,
-        lambda part: _previous_by_window(part, keys, order_by, value, name, default),
-        lambda part: _previous_by_sort(part, keys, order_by, value, name, default),
-    )
+    """``lag(value)`` per group, ``default`` on each group's first row."""
+    joined, reaches = _with_borders(df, keys, order_by, F.col(value), "previous")
+    in_part = Window.partitionBy(_PART, *keys).orderBy(_SEQ)
+    first = F.when(reaches, F.col("_last_before")["_value"]).otherwise(default)
+    found = F.when(F.row_number().over(in_part) == 1, first).otherwise(F.lag(value).over(in_part))
+    return joined.withColumn(name, found).select(*df.columns, name)

@@ -133,14 +133,13 @@ def readiness(counts: DataFrame, required: Sequence[str]) -> DataFrame:
 def grain(source: DataFrame, tables: Mapping[str, DataFrame], grains: Mapping[str, Sequence[str]]) -> DataFrame:
     """Distinct values expected from the source beside the rows each table really has.
 
-    All expected counts come from one pass over the source; keys are compared as structs, so a
-    null part still counts.
+    The source is a stored table: each grain reads just its own columns and merges equal rows before they
+    are exchanged. A null part of a key still counts.
     """
-    expected = source.agg(*[F.count_distinct(F.struct(*cols)).alias(name) for name, cols in grains.items()])
-    pairs = F.array(
-        *[F.struct(F.lit(n).alias("table_name"), F.col(n).alias("expected")) for n in expected.columns]
+    expected = union_all(
+        source.select(*cols).distinct().agg(F.count(F.lit(1)).alias("expected")).select(F.lit(name).alias("table_name"), "expected")
+        for name, cols in grains.items()
     )
-    expected = expected.select(F.explode(pairs).alias("p")).select("p.table_name", "p.expected")
     actual = row_counts({n: tables[n] for n in grains}).withColumnRenamed("row_count", "actual")
     return expected.join(actual, "table_name").withColumn("matches", F.col("expected") == F.col("actual"))
 

@@ -4,30 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 
-# Rows that may be sent to every task.
-MAX_BROADCAST_ROWS = 10_000
 
-
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it really has at most ``max_rows`` rows, else unmarked."""
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
-
-
-def product(left: DataFrame, right: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def product(left: DataFrame, right: DataFrame) -> DataFrame:
     """Every left row with every right row.
 
-    A small right side goes to every task, and the left side is never moved. Beyond that size the
-    rows are paired partition by partition; nothing is cut off.
+    Spark sends a side to every task if its size in bytes is under the session's broadcast limit, and the
+    other side is then never moved. Beyond it rows are paired partition by partition; nothing is cut off.
     """
-    return left.crossJoin(small_side(right, max_rows))
+    return left.crossJoin(right)
 
 
-def theta_join(left: DataFrame, right: DataFrame, on: Column, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Pairs that meet a condition other than equality, against a small right side."""
-    return left.join(small_side(right, max_rows), on, "inner")
+def theta_join(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
+    """Pairs that meet a condition other than equality; sides are sent as in ``product``."""
+    return left.join(right, on, "inner")
 
 
 def present_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:

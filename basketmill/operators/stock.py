@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketmill.functions.labels import stock_label
-from basketmill.operators.ordering import MAX_GROUP_ROWS, previous_in_group, rank_in_group
+from basketmill.operators.ordering import previous_in_group, rank_in_group
 from basketmill.operators.relational import absent_from, present_in, top
 from basketmill.schemas import UNKNOWN_CATEGORY
 
 REQUEST_ORDER = ("ts", "event_id")
 
 
-def seed(products: DataFrame, inventory: DataFrame, n: int = 5, stock: int = 100) -> DataFrame:
-    """Starting stock for the first ``n`` products that have no stock row."""
+def seed(products: DataFrame, inventory: DataFrame, now: datetime, n: int = 5, stock: int = 100) -> DataFrame:
+    """Starting stock for the first ``n`` products that have no stock row, stamped with the run's time ``now``."""
     missing = absent_from(products.select("product_id"), inventory, ["product_id"])
-    return top(missing, n, F.col("product_id")).withColumn("stock_count", F.lit(stock))
+    return top(missing, n, F.col("product_id")).withColumns(
+        {"stock_count": F.lit(stock), "updated_at": F.lit(now).cast("timestamp_ntz")}
+    )
+
+
+def stamped(incoming: DataFrame, now: datetime) -> DataFrame:
+    """Incoming stock with the run's time as its time of change, for ``upsert``."""
+    return incoming.withColumn("updated_at", F.lit(now).cast("timestamp_ntz"))
 
 
 def upsert(inventory: DataFrame, products: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -65,11 +73,6 @@ def listing(products: DataFrame, inventory: DataFrame, n: int = 200) -> DataFram
     )
 
 
-def stock_of(inventory: DataFrame, product_id) -> DataFrame:
-    """The stock row of one product."""
-    return inventory.filter(F.col("product_id") == F.lit(product_id))
-
-
 def settle(ranked: DataFrame, stock: DataFrame) -> DataFrame:
     """Outcome of requests whose place in line, ``position``, is known."""
     available = stock.select("product_id", F.col("stock_count").cast("long").alias("available"))
@@ -88,45 +91,15 @@ def settle(ranked: DataFrame, stock: DataFrame) -> DataFrame:
     )
 
 
-def allocate(
-    requests: DataFrame,
-    stock: DataFrame,
-    order_by: Sequence[str] = REQUEST_ORDER,
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
+def allocate(requests: DataFrame, stock: DataFrame, order_by: Sequence[str] = REQUEST_ORDER) -> DataFrame:
     """One piece per request, first come first served, as if every request held the stock row's lock."""
-    return settle(rank_in_group(requests, ["product_id"], list(order_by), "position", max_group_rows), stock)
-
-
-def daily_reads(requests: DataFrame, stock: int) -> DataFrame:
-    """A log of unguarded writes: every request of a day reads the stock as it stood that morning."""
-    dated = requests.withColumn("day", F.to_date("ts"))
-    # Days per product are few whatever the number of requests.
-    days = dated.select("product_id", "day").distinct()
-    nth = F.dense_rank().over(Window.partitionBy("product_id").orderBy("day")).cast("long")
-    days = days.withColumn("read", F.greatest(F.lit(stock) - nth + 1, F.lit(0)))
-    return (
-        dated.join(days, ["product_id", "day"])
-        .drop("day")
-        .withColumn("written", F.when(F.col("read") > 0, F.col("read") - 1))
-    )
+    return settle(rank_in_group(requests, ["product_id"], list(order_by), "position"), stock)
 
 
-def lost_updates(
-    log: DataFrame,
-    stock: Column,
-    order_by: Sequence[str] = REQUEST_ORDER,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    counted: DataFrame | None = None,
-) -> DataFrame:
-    """Per product: writes, and those that started from a value that was no longer the last one committed.
-
-    ``counted`` may name the requests behind a log that is expensive to compute.
-    """
+def lost_updates(log: DataFrame, stock: Column, order_by: Sequence[str] = REQUEST_ORDER) -> DataFrame:
+    """Per product: writes, and those that started from a value that was no longer the last one committed."""
     writes = log.filter(F.col("written").isNotNull())
-    judged = previous_in_group(
-        writes, ["product_id"], list(order_by), "written", "committed", stock.cast("long"), max_group_rows, counted
-    )
+    judged = previous_in_group(writes, ["product_id"], list(order_by), "written", "committed", stock.cast("long"))
     return judged.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("writes"),
         F.count_if(~F.col("read").eqNullSafe(F.col("committed"))).alias("stale_writes"),

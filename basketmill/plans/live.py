@@ -1,8 +1,11 @@
-"""The given tables played as streams to their end, and what the sinks then hold."""
+"""The given tables played as streams to their end, in several arrivals, and what the sinks then hold."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from basketmill.plans.stock import ALLOCATED_STOCK, full_stock
 from basketmill.schemas import FREIGHT_RULE
@@ -10,17 +13,29 @@ from basketmill.session import new_path
 from basketmill.sources.roles import item_roles, request_roles, table
 from basketmill.streaming import gate, reservation
 
+ARRIVALS = 3
+
 
-def arriving(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A stream of the table's files; the pattern matches a single file as well as a folder of parts."""
-    return spark.readStream.schema(table(spark, folder, name).schema).parquet(f"{folder.rstrip('/')}/{name}.parquet*")
+def play(rows: DataFrame, arrival: Column, path: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Let the rows arrive in parts, numbered by ``arrival``, and run the stream on what is new after each.
+
+    Every run continues from the progress of the one before, as after a restart.
+    """
+    spark = rows.sparkSession
+    for number in range(ARRIVALS):
+        rows.where(arrival == number).write.mode("append").parquet(path)
+        start(spark.readStream.schema(rows.schema).parquet(path)).awaitTermination()
 
 
 def _gated(spark: SparkSession, folder: str, verdict: str) -> DataFrame:
-    rows = item_roles(arriving(spark, folder, "lineitem"))
+    lines = table(spark, folder, "lineitem")
     sink = new_path(spark, "gate")
-    gate.start_gate(rows, FREIGHT_RULE, f"{sink}/rows", f"{sink}/progress").awaitTermination()
-    return gate.read_sink(spark, f"{sink}/rows", rows.schema, verdict)
+
+    def start(arrived: DataFrame) -> StreamingQuery:
+        return gate.start_gate(item_roles(arrived), FREIGHT_RULE, f"{sink}/rows", f"{sink}/progress")
+
+    play(lines, F.pmod(F.hash("l_orderkey", "l_linenumber"), F.lit(ARRIVALS)), f"{sink}/arrived", start)
+    return gate.read_sink(spark, f"{sink}/rows", item_roles(lines).schema, verdict)
 
 
 def gate_stream_valid(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,11 +47,20 @@ def gate_stream_rejected(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reservation_stream(spark: SparkSession, folder: str) -> DataFrame:
-    rows = request_roles(arriving(spark, folder, "events"))
+    """Events arrive in order of time; the settled requests equal those of one allocation over all."""
+    events = table(spark, folder, "events")
+    stock = full_stock(spark, folder, ALLOCATED_STOCK)
     sink = new_path(spark, "reservation")
-    reservation.start_reservation(
-        rows, full_stock(spark, folder, ALLOCATED_STOCK), f"{sink}/rows", f"{sink}/progress"
-    ).awaitTermination()
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    if first is None:
+        return reservation.settled(spark, f"{sink}/rows")
+    edges = [first + (last - first) * (i + 1) / ARRIVALS for i in range(ARRIVALS - 1)]
+    arrival = sum((F.when(F.col("ts") >= F.lit(e).cast("timestamp_ntz"), 1).otherwise(0) for e in edges), F.lit(0))
+
+    def start(arrived: DataFrame) -> StreamingQuery:
+        return reservation.start_reservation(request_roles(arrived), stock, f"{sink}/rows", f"{sink}/progress")
+
+    play(events, arrival, f"{sink}/arrived", start)
     return reservation.settled(spark, f"{sink}/rows")
 
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from basketmill.operators import marts
-from basketmill.operators.modelling import joinable_form
-from basketmill.plans.model import kept_orders, model
+from basketmill.plans.model import model
 from basketmill.sources.roles import retail
 
 # Category groups and periods of the analysis (fixed values of the role tables).
@@ -15,20 +14,16 @@ FIRST_YEAR, LAST_YEAR = 1997, 1998
 FREIGHT_YEAR = 1997
 
 
-def by_order(spark: SparkSession, folder: str, with_products: bool = False) -> dict[str, DataFrame]:
-    return joinable_form(retail(spark, folder), with_products)
-
-
 def headline_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return marts.headline_metrics(model(spark, folder))
 
 
 def delivery_satisfaction(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.delivery_satisfaction(by_order(spark, folder), FIRST_YEAR, LAST_YEAR)
+    return marts.delivery_satisfaction(retail(spark, folder), FIRST_YEAR, LAST_YEAR)
 
 
 def delivery_satisfaction_by_order(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.delivery_satisfaction_by_order(by_order(spark, folder), FIRST_YEAR, LAST_YEAR)
+    return marts.delivery_satisfaction_by_order(retail(spark, folder), FIRST_YEAR, LAST_YEAR)
 
 
 def score_gap(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,15 +31,15 @@ def score_gap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def category_repurchase(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.category_repurchase(by_order(spark, folder, with_products=True), GROUPS, FIRST_YEAR, LAST_YEAR)
+    return marts.category_repurchase(retail(spark, folder), GROUPS, FIRST_YEAR, LAST_YEAR)
 
 
 def freight_by_quarter(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.freight_by_quarter(by_order(spark, folder), FREIGHT_YEAR)
+    return marts.freight_by_quarter(retail(spark, folder), FREIGHT_YEAR)
 
 
 def freight_by_quarter_by_order(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.freight_by_quarter_by_order(by_order(spark, folder), FREIGHT_YEAR)
+    return marts.freight_by_quarter_by_order(retail(spark, folder), FREIGHT_YEAR)
 
 
 def q4_freight_gap(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,19 +47,19 @@ def q4_freight_gap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def wide_sample(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.wide_sample(by_order(spark, folder, with_products=True))
+    return marts.wide_sample(retail(spark, folder))
 
 
 def latest_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.latest_rows(retail(spark, folder), kept_orders(spark, folder))
+    return marts.latest_rows(retail(spark, folder))
 
 
 def admin_listing(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.item_listing(retail(spark, folder), kept_orders(spark, folder), "admin")
+    return marts.item_listing(retail(spark, folder), "admin")
 
 
 def public_listing(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.item_listing(retail(spark, folder), kept_orders(spark, folder), "analyst")
+    return marts.item_listing(retail(spark, folder), "analyst")
 
 
 def next_item_id(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,29 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketmill.plans import live, marts, model, oracle, relational, stock
-from basketmill.session import tune
+from basketmill.plans import files, live, marts, model, oracle, relational, stock
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _tuned(query: Query) -> Query:
-    @wraps(query)
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        return query(tune(spark), folder)
-
-    return run
-
-
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
-    for group in (relational, model, marts, stock, live):
+    for group in (relational, model, marts, stock, files, live):
         found.update(group.QUERIES)
-    return {name: _tuned(query) for name, query in found.items()}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:

@@ -72,13 +72,8 @@ WIDE_COLUMNS = tuple(WIDE.names)
 
 INVENTORY = struct(product_id=TEXT, stock_count=IntegerType(), updated_at=TIME)
 
-TEACHING = {
-    "student": struct(id=IntegerType(), name=TEXT, age=IntegerType()),
-    "course": struct(id=IntegerType(), title=TEXT, credits=IntegerType()),
-    "score": struct(
-        sid=IntegerType(), student_id=IntegerType(), course_id=IntegerType(), grade=IntegerType()
-    ),
-}
+# Raw tables whose cells may hold line breaks.
+FREE_TEXT = ("order_reviews",)
 
 
 @dataclass(frozen=True)

@@ -1,63 +1,66 @@
-"""Session settings and the shared folder for written intermediate tables."""
+"""The shared folder for written intermediate tables, and a session for one machine."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Skewed join partitions are split at run time by the number of bytes in them. Forcing it also
-# covers joins whose output partitioning a later step would have reused: an extra exchange costs
-# less than one task that reads a third of the rows.
-RUNTIME_SETTINGS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-}
-
-
-def tune(spark: SparkSession) -> SparkSession:
-    """Set the run-time options that the plans of this package rely on."""
-    for name, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(name, value)
-    return spark
+FOLDER_SETTING = "spark.checkpoint.dir"
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A one-machine session for tests and timings."""
-    spark = (
+def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", staging: str | None = None) -> SparkSession:
+    """A one-machine session for tests and timings; ``staging`` names its shared folder."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("basketmill")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .getOrCreate()
     )
+    spark = (builder.config(FOLDER_SETTING, staging) if staging else builder).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return tune(spark)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
+    """The folder every executor can reach, as the session names it.
 
-    Only a one-machine session may fall back to a temporary folder.
+    Only a session inside one process may leave it unset; it then gets a folder of its own application.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    folder = spark.conf.get(FOLDER_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="basketmill-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"{FOLDER_SETTING} must name a folder shared by all executors")
+    return os.path.join(tempfile.gettempdir(), f"basketmill-{spark.sparkContext.applicationId}")
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/basketmill/{spark.sparkContext.applicationId}"
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/basketmill/{name}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other run uses; it goes when the application ends."""
+    folder = _application_folder(spark)
+    files, path = _file_system(spark, folder)
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all that this application has staged; frames that read it can no longer be used."""
+    files, path = _file_system(spark, _application_folder(spark))
+    files.delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -69,3 +72,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def finished_batches(spark: SparkSession, sink: str) -> list[str]:
+    """The ``batch_id=`` folders under ``sink`` whose write has ended, one per micro-batch."""
+    files, path = _file_system(spark, f"{sink.rstrip('/')}/batch_id=*/_SUCCESS")
+    found = files.globStatus(path)
+    return sorted(status.getPath().getParent().toString() for status in found or ())

@@ -3,33 +3,48 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from basketmill.functions.parsing import blank_to_null
+from basketmill.session import new_path
 
-BAD_COLUMNS = "_bad_columns"
+BAD_COLUMNS, BAD_TEXT = "_bad_columns", "_text"
 OUTPUT_TIME = "yyyy-MM-dd HH:mm:ss"
 
 
+# Quotes are doubled inside a quoted cell, in and out; white space belongs to the cell.
+DIALECT = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: StructType | None = None,
     columns: Sequence[str] | None = None,
+    multi_line: bool = False,
+    infer: bool = False,
 ) -> DataFrame:
     """A CSV file with a header row, typed by ``schema``; blank cells are null.
 
     Columns are matched to the header by name, so ``schema`` lists only what is needed, in any
-    order. A missing column fails the read. Without a schema the types are inferred, which reads
-    the data twice and is meant for profiling small samples.
+    order. A missing column fails the read. Without a schema all columns are text, or with ``infer`` of
+    types found by reading the data twice, which is meant for profiling small samples. Cells may hold
+    line breaks only with ``multi_line``; each file is then one task, so land such files once (``land_csv``).
     """
-    if schema is None:
-        raw = spark.read.option("header", True).option("inferSchema", True).csv(path)
+    if infer:
+        raw = spark.read.options(**DIALECT, inferSchema=True, multiLine=multi_line).csv(path)
     else:
-        text = _text_columns(spark, path, schema)
-        raw = text.select(*[_typed(f).alias(f.name) for f in schema.fields])
+        text = _text_columns(spark, path, schema, multi_line)
+        raw = text.select(*[_typed(f).alias(f.name) for f in schema.fields]) if schema else text
     blanked = raw.select(
         *[
             blank_to_null(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f.name)
@@ -39,9 +54,11 @@ def read_csv(
     return blanked.select(*columns) if columns else blanked
 
 
-def _text_columns(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The named columns as text. Typing them afterwards keeps CSV column pruning."""
-    text = spark.read.option("header", True).csv(path)
+def _text_columns(spark: SparkSession, path: str, schema: StructType | None, multi_line: bool) -> DataFrame:
+    """The named columns, or all, as text. Typing them afterwards keeps CSV column pruning."""
+    text = spark.read.options(**DIALECT, multiLine=multi_line).csv(path)
+    if schema is None:
+        return text
     missing = [name for name in schema.names if name not in text.columns]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
@@ -54,50 +71,79 @@ def _typed(field: StructField) -> Column:
 
 
 def read_raw_tables(
-    spark: SparkSession, folder: str, schemas: Mapping[str, StructType], pattern: str = "{name}.csv"
+    spark: SparkSession,
+    folder: str,
+    schemas: Mapping[str, StructType],
+    pattern: str = "{name}.csv",
+    free_text: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """Every table of ``schemas`` from ``folder``, in the columns its schema names."""
+    """Every table of ``schemas`` from ``folder``, in the columns its schema names.
+
+    Tables named in ``free_text`` may hold line breaks inside cells.
+    """
     return {
-        name: read_csv(spark, f"{folder.rstrip('/')}/{pattern.format(name=name)}", schema)
+        name: read_csv(spark, f"{folder.rstrip('/')}/{pattern.format(name=name)}", schema, multi_line=name in free_text)
         for name, schema in schemas.items()
     }
 
 
-def load_typed(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """Bulk load: typed rows, and the text of rows with a value that does not fit its column's type.
+def land_csv(spark: SparkSession, path: str, schema: StructType, landing: str, multi_line: bool = False) -> DataFrame:
+    """Bulk load: the file read once and written to ``landing`` as a typed Parquet table, then read back from there.
 
-    The second frame names the columns at fault. Both look at every column, so what a later step
-    selects does not change which rows fit.
+    A value that does not fit its column's type is null; ``_bad_columns`` names the columns at fault, and
+    ``_text`` has the row's text where there are any.
     """
-    text = _text_columns(spark, path, schema)
+    text = _text_columns(spark, path, schema, multi_line)
     unfit = {f.name: blank_to_null(F.col(f.name)).isNotNull() & _typed(f).isNull() for f in schema.fields}
-    judged = text.withColumn(BAD_COLUMNS, F.concat_ws(",", *[F.when(test, F.lit(n)) for n, test in unfit.items()]))
-    good = judged.filter(F.col(BAD_COLUMNS) == "")
-    return (
-        good.select(
-            *[
-                (blank_to_null(F.col(f.name)) if isinstance(f.dataType, StringType) else _typed(f)).alias(f.name)
-                for f in schema.fields
-            ]
-        ),
-        judged.filter(F.col(BAD_COLUMNS) != ""),
-    )
+    bad = F.concat_ws(",", *[F.when(test, F.lit(n)) for n, test in unfit.items()])
+    typed = [
+        (blank_to_null(F.col(f.name)) if isinstance(f.dataType, StringType) else _typed(f)).alias(f.name)
+        for f in schema.fields
+    ]
+    row = F.struct(*[F.col(n) for n in schema.names])
+    landed = text.select(*typed, bad.alias(BAD_COLUMNS), F.when(bad != "", row).alias(BAD_TEXT))
+    landed.write.mode("overwrite").parquet(landing)
+    return spark.read.schema(landed.schema).parquet(landing)
+
+
+def fitting(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The typed rows of a landed table, and the text of those with a value that does not fit."""
+    good = landed.filter(F.col(BAD_COLUMNS) == "").drop(BAD_COLUMNS, BAD_TEXT)
+    return good, landed.filter(F.col(BAD_COLUMNS) != "").select(f"{BAD_TEXT}.*", BAD_COLUMNS)
+
+
+def load_typed(
+    spark: SparkSession, path: str, schema: StructType, landing: str | None = None, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``land_csv`` and ``fitting`` in one step, by default into the shared folder."""
+    return fitting(land_csv(spark, path, schema, landing or new_path(spark, "landed"), multi_line))
+
+
+def unfit_counts(landed: Mapping[str, DataFrame]) -> DataFrame:
+    """(metric, value) rows: unfit values per table and column, one scan of the narrow fault column per table."""
+    counts = []
+    for name, df in landed.items():
+        columns = [c for c in df.columns if c not in (BAD_COLUMNS, BAD_TEXT)]
+        faults = F.split(F.col(BAD_COLUMNS), ",")
+        sums = df.agg(*[F.count_if(F.array_contains(faults, c)).alias(c) for c in columns])
+        pairs = F.array(*[F.struct(F.lit(f"unfit {name}.{c}").alias("metric"), F.col(c).alias("value")) for c in columns])
+        counts.append(sums.select(F.explode(pairs).alias("p")).select("p.metric", "p.value"))
+    return reduce(DataFrame.unionByName, counts)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """A folder of CSV part files with headers; one file per task, none gathered on one machine."""
-    df.write.option("header", True).option("timestampNTZFormat", OUTPUT_TIME).csv(path)
+    df.write.options(**DIALECT, timestampNTZFormat=OUTPUT_TIME).csv(path)
+
 
+def register_folder(spark: SparkSession, folder: str, schemas: Mapping[str, StructType] | None = None) -> list[str]:
+    """Make every ``<name>.csv`` in ``folder`` a view called ``<name>``; returns the names.
 
-def register_folder(spark: SparkSession, folder: str) -> list[str]:
-    """Make every ``<name>.csv`` in ``folder`` a view called ``<name>``; returns the names."""
+    Columns are typed by ``schemas``, and text where it has no entry; nothing is read to find types.
+    """
     # Listing paths alone reads no content; there is one per table.
     paths = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path")
     names = sorted(row.path.rsplit("/", 1)[1].removesuffix(".csv") for row in paths.collect())
     for name in names:
-        read_csv(spark, f"{folder.rstrip('/')}/{name}.csv").createOrReplaceTempView(name)
+        read_csv(spark, f"{folder.rstrip('/')}/{name}.csv", (schemas or {}).get(name)).createOrReplaceTempView(name)
     return names
-
-
-def list_views(spark: SparkSession) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables() if t.isTemporary)

@@ -46,7 +46,8 @@ HEADLINE = (
     "next_item_id",
     "stock_upsert",
     "stock_allocation",
-    "lost_update_audit",
+    "stock_verdict",
+    "csv_round_trip",
     "gate_stream_valid",
     "reservation_stream",
 )

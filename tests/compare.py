@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from decimal import Decimal
@@ -62,7 +63,7 @@ def compare(df, db, sql: str) -> tuple[list[str], int]:
 
 
 def main(folder: str, only: list[str]) -> int:
-    sys.path.insert(0, "/root/repo")
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as contract
     from basketmill.session import local_session
 

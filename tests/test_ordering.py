@@ -3,10 +3,16 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from basketmill.operators import ordering, skew
+from basketmill.operators import ordering
 from conftest import rows
 
 SCHEMA = "g string, t int, id int, v int"
+MERGING = "spark.sql.adaptive.coalescePartitions.enabled"
+
+
+def with_all_parts(spark):
+    """Few rows would otherwise be merged into one part at run time."""
+    spark.conf.set(MERGING, "false")
 
 
 def crowd(seed=1, n=600):
@@ -29,28 +35,51 @@ def expected_rank(data):
     return out
 
 
-@pytest.mark.parametrize("limit", [10_000, 50, 5])
-def test_rank_and_previous_agree_whatever_the_group_limit(spark, limit):
-    data = crowd()
+@pytest.mark.parametrize("seed", range(3))
+def test_rank_and_previous(spark, seed):
+    data = crowd(seed)
     df = spark.createDataFrame(data, SCHEMA).repartition(5)
     want = expected_rank(data)
-    ranked = ordering.rank_in_group(df, ["g"], ["t", "id"], "place", max_group_rows=limit)
+    ranked = ordering.rank_in_group(df, ["g"], ["t", "id"], "place")
     assert rows(ranked) == sorted([r[:5] for r in want], key=repr)
-    before = ordering.previous_in_group(df, ["g"], ["t", "id"], "v", "before", F.lit(-1), max_group_rows=limit)
+    before = ordering.previous_in_group(df, ["g"], ["t", "id"], "v", "before", F.lit(-1))
     assert rows(before) == sorted([(*r[:4], r[5]) for r in want], key=repr)
 
 
-def test_every_group_crowded(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_NAMED_GROUPS", 2)
-    data = crowd(3)
-    df = spark.createDataFrame(data, SCHEMA)
-    ranked = ordering.rank_in_group(df, ["g"], ["t", "id"], "place", max_group_rows=1)
-    assert rows(ranked) == sorted([r[:5] for r in expected_rank(data)], key=repr)
+def test_one_group_over_many_parts(spark):
+    """A group longer than several parts, with small ones before and after it."""
+    data = [("a", i, i, i) for i in range(3)] + [("hot", i, i, i % 10) for i in range(3000)] + [(None, 1, 1, 1), ("z", 1, 1, 5)]
+    df = spark.createDataFrame(data, SCHEMA).repartition(4)
+    want = expected_rank(data)
+    with_all_parts(spark)
+    try:
+        assert rows(ordering.rank_in_group(df, ["g"], ["t", "id"], "place")) == sorted([r[:5] for r in want], key=repr)
+        before = ordering.previous_in_group(df, ["g"], ["t", "id"], "v", "before", F.lit(-1))
+        assert rows(before) == sorted([(*r[:4], r[5]) for r in want], key=repr)
+    finally:
+        spark.conf.unset(MERGING)
+
+
+def test_task_sizes_with_a_crowded_group(spark):
+    """The windows run inside a part: no task holds the group."""
+    df = spark.range(8000).select(F.lit("hot").alias("g"), F.col("id").alias("t"))
+    with_all_parts(spark)
+    try:
+        ranked = ordering.rank_in_group(df, ["g"], ["t"], "place")
+        sizes = [r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 8000 and max(sizes) < 8000
+        assert [r.place for r in ranked.orderBy("t").collect()] == list(range(1, 8001))
+    finally:
+        spark.conf.unset(MERGING)
 
 
 def test_a_crowded_group_is_spread_over_parts(spark):
     df = spark.range(4000).select(F.lit("hot").alias("g"), F.col("id").alias("t"))
-    placed = ordering._place(df, ["g", "t"], "spread")
+    with_all_parts(spark)
+    try:
+        placed = ordering._place(df, ["g", "t"], "spread")
+    finally:
+        spark.conf.unset(MERGING)
     sizes = [r["count"] for r in placed.groupBy("_part").count().collect()]
     assert len(sizes) > 1 and max(sizes) < 3000
 
@@ -67,19 +96,4 @@ def test_nothing_in_nothing_out(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert ordering.number_rows(df, ["t", "id"], "n").count() == 0
     assert ordering.rank_in_group(df, ["g"], ["t"], "n").count() == 0
-    assert ordering._rank_by_sort(df, ["g"], ["t"], "n").count() == 0
-
-
-@pytest.mark.parametrize("named", [1000, 2])
-@pytest.mark.parametrize("limit", [10_000, 3])
-def test_join_on_a_crowded_key(spark, monkeypatch, limit, named):
-    monkeypatch.setattr(skew, "MAX_NAMED_GROUPS", named)
-    left = [("a", 1), ("a", 1), ("b", 2), ("c", 3), (None, 4), ("e", 5), ("f", 6)]
-    # Copies, keys on one side only, null keys.
-    right = [("a", 7)] * 40 + [("b", i) for i in range(5)] + [("c", 0), ("d", 0), (None, 1)] * 4 + [("f", 1)]
-    got = skew.join_repeated(
-        spark.createDataFrame(left, "k string, l int"), spark.createDataFrame(right, "k string, r int"), "k", limit
-    )
-    assert got.columns == ["k", "l", "r"]
-    want = sorted((k, x, y) for k, x in left for j, y in right if k is not None and k == j)
-    assert rows(got) == want
+    assert ordering.previous_in_group(df, ["g"], ["t"], "v", "n", F.lit(0)).count() == 0

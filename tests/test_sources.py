@@ -8,7 +8,7 @@ from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType
 
 from basketmill.functions import parsing
 from basketmill.operators import cleaning, relational
-from basketmill.schemas import INVENTORY, RAW, TEACHING, WIDE, struct
+from basketmill.schemas import FREE_TEXT, INVENTORY, RAW, WIDE, struct
 from basketmill.session import shared_folder, stage
 from basketmill.sources import files, tables
 from conftest import rows
@@ -37,7 +37,8 @@ def test_typed_cells(spark, tmp_path):
 
 def test_inferred_types_are_per_column(spark, tmp_path):
     path = write(tmp_path / "t.csv", "a,b,mixed\n1,1.5,1\n2,2.5,x\n")
-    assert dict(files.read_csv(spark, path).dtypes) == {"a": "int", "b": "double", "mixed": "string"}
+    assert dict(files.read_csv(spark, path, infer=True).dtypes) == {"a": "int", "b": "double", "mixed": "string"}
+    assert set(dict(files.read_csv(spark, path).dtypes).values()) == {"string"}
 
 
 def test_only_wanted_columns_are_read(spark, tmp_path):
@@ -46,7 +47,7 @@ def test_only_wanted_columns_are_read(spark, tmp_path):
     assert rows(df) == [("3", 1)]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<a:string,c:string>" in plan
-    assert rows(files.read_csv(spark, path, columns=["b"])) == [(2,)]
+    assert rows(files.read_csv(spark, path, columns=["b"])) == [("2",)]
     with pytest.raises(ValueError, match="no column d"):
         files.read_csv(spark, path, struct(d=WIDE["order_id"].dataType))
     with pytest.raises(AnalysisException):
@@ -59,24 +60,60 @@ def test_byte_order_mark(spark, tmp_path):
 
 
 def test_folder_of_tables(spark, tmp_path):
-    write(tmp_path / "student.csv", "id,name,age\n" + "".join(f"{i},Stu_{i},{18 + i % 8}\n" for i in range(1, 41)))
-    write(tmp_path / "course.csv", "id,title,credits\n1,Course_1,4\n2,Course_2,3\n")
+    """Views over a folder: typed where a schema is given, aliases, two tables, LIMIT, and what must fail."""
+    write(tmp_path / "van.csv", "plate,depot,load_kg\n" + "".join(f"V{i},{i % 3},{100 * i}\n" for i in range(12)))
+    write(tmp_path / "depot.csv", "depot,town\n0,North\n1,South\n")
     (tmp_path / "notes.txt").write_text("x")
-    assert files.register_folder(spark, str(tmp_path)) == ["course", "student"]
-    assert {"course", "student"} <= set(files.list_views(spark))
-    students = files.read_csv(spark, str(tmp_path / "student.csv"), TEACHING["student"])
-    assert students.schema == TEACHING["student"]
-    older = spark.sql("SELECT name, age FROM student WHERE age > 20")
-    assert older.count() == sum(18 + i % 8 > 20 for i in range(1, 41))
-    assert spark.sql("SELECT s.name AS who, c.title FROM student AS s, course AS c LIMIT 5").count() == 5
+    schema = struct(plate=StringType(), depot=IntegerType(), load_kg=IntegerType())
+    assert files.register_folder(spark, str(tmp_path), {"van": schema}) == ["depot", "van"]
+    assert spark.table("van").schema == schema and spark.table("depot").schema.names == ["depot", "town"]
+    assert spark.table("depot").schema["depot"].dataType == StringType()
+    assert spark.sql("SELECT plate FROM van WHERE load_kg >= 900").count() == 3
+    met = spark.sql("SELECT v.plate AS which, d.town FROM van AS v, depot AS d WHERE v.depot = d.depot")
+    assert met.columns == ["which", "town"] and met.count() == 8
+    assert spark.sql("SELECT v.plate FROM van v, depot d LIMIT 7").count() == 7
     with pytest.raises(AnalysisException, match="AMBIGUOUS"):
-        spark.sql("SELECT id FROM student, course")
+        spark.sql("SELECT depot FROM van, depot")
     with pytest.raises(AnalysisException):
-        spark.sql("SELECT absent FROM student")
+        spark.sql("SELECT absent FROM van")
     with pytest.raises(ParseException):
         spark.sql("SELEC 1")
 
 
+HARD_TEXT = (
+    "plain", 'a "quoted" word', '"all quoted"', "line\nbreak", "cr\r\nlf", 'both\n""x""', "a,b", "back\\slash", 'end\\"', " spaces ", "'", "#x", "é ß",
+    'x",y', "\ttab",
+)
+
+
+def test_hard_text_comes_back(spark, tmp_path):
+    schema = struct(comment=StringType(), n=IntegerType(), last=StringType())
+    data = [(t, i, t[::-1]) for i, t in enumerate(HARD_TEXT)] + [(None, 99, None)]
+    files.write_csv(spark.createDataFrame(data, schema).coalesce(2), str(tmp_path / "out"))
+    back = files.read_csv(spark, str(tmp_path / "out"), schema, multi_line=True)
+    assert rows(back) == sorted(data, key=repr)
+    # Needed columns after a text column, without reading it.
+    assert rows(files.read_csv(spark, str(tmp_path / "out"), struct(n=IntegerType()), multi_line=True)) == sorted([(d[1],) for d in data], key=repr)
+
+
+def test_reviews_with_line_breaks(spark, tmp_path):
+    text = 'comment,review_id,order_id,review_score\n"really good,\n""very"" good",r1,o1,5\n,r2,o2,\n"one ""ok""",r3,o3,4\n'
+    write(tmp_path / "order_reviews.csv", text)
+    found = files.read_raw_tables(spark, str(tmp_path), {"order_reviews": RAW["order_reviews"]}, free_text=FREE_TEXT)
+    assert rows(found["order_reviews"]) == [("r1", "o1", 5), ("r2", "o2", None), ("r3", "o3", 4)]
+    single = text.replace(",\n", ",", 1)
+    write(tmp_path / "flat.csv", single)
+    assert rows(files.read_csv(spark, str(tmp_path / "flat.csv"), RAW["order_reviews"])) == rows(found["order_reviews"])
+
+
+def test_landing_counts_unfit_values(spark, tmp_path):
+    path = write(tmp_path / "t.csv", "a,b,c\n1,2.5,x\nbad,1,y\nworse,none,z\n,,\n")
+    schema = struct(a=IntegerType(), b=WIDE["price"].dataType, c=StringType())
+    landed = files.land_csv(spark, path, schema, str(tmp_path / "landed"))
+    assert landed.count() == 4 and "parquet" in landed._jdf.queryExecution().executedPlan().toString().lower()
+    assert rows(files.unfit_counts({"t": landed})) == [("unfit t.a", 2), ("unfit t.b", 1), ("unfit t.c", 0)]
+
+
 def csv_text(columns, data):
     lines = [",".join(columns)]
     lines += [",".join("" if v is None else str(v) for v in r) for r in data]
@@ -143,6 +180,25 @@ def test_publish_and_stage(spark):
     assert shared_folder(spark)
 
 
+def test_staged_tables_can_be_released(spark, tmp_path, monkeypatch):
+    from basketmill import session
+
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    staged = stage(spark.range(5), "numbers")
+    assert staged.count() == 5 and any(tmp_path.rglob("*.parquet"))
+    session.release(spark)
+    assert not any(tmp_path.rglob("*.parquet"))
+
+
+def test_session_settings_stay_as_found(spark, small):
+    import __spark_entry__ as contract
+
+    before = dict(spark.conf.getAll)
+    for name in ("clean_wide", "stock_allocation", "gate_stream_valid"):
+        contract.queries()[name](spark, small).count()
+    assert dict(spark.conf.getAll) == before
+
+
 def test_tolerant_parsing(spark):
     text = spark.createDataFrame([("7",), (" 7 ",), ("7.5",), ("2024-01-31",), ("2024-01-31 10:00:00",), ("x",), ("",), (None,)], "c string")
     c = F.col("c")
@@ -157,13 +213,11 @@ def test_tolerant_parsing(spark):
     assert [r.b for r in got][6:] == [None, None]
 
 
-def test_product_on_both_sides_of_the_limit(spark):
+def test_product_and_inequality(spark):
     left, right = spark.range(7).toDF("a"), spark.range(5).toDF("b")
-    small, large = relational.product(left, right), relational.product(left, right, max_rows=4)
-    assert rows(small) == rows(large) == [(a, b) for a in range(7) for b in range(5)]
-    on = left["a"] > right["b"]
+    assert rows(relational.product(left, right)) == [(a, b) for a in range(7) for b in range(5)]
     want = [(a, b) for a in range(7) for b in range(5) if a > b]
-    assert rows(relational.theta_join(left, right, on)) == rows(relational.theta_join(left, right, on, 4)) == want
+    assert rows(relational.theta_join(left, right, left["a"] > right["b"])) == want
 
 
 def test_exists_and_null_keys(spark):

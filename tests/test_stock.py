@@ -1,9 +1,9 @@
 from datetime import datetime, timedelta
 
-import pytest
 from pyspark.sql import functions as F
 
 from basketmill.operators import stock
+from basketmill.schemas import INVENTORY
 from basketmill.session import new_path
 from basketmill.streaming import reservation
 from conftest import rows
@@ -25,17 +25,15 @@ def served(data):
     return [(r.event_id, r.position, r.seen, r.written, r.outcome) for r in sorted(data.collect(), key=lambda r: r.event_id)]
 
 
-@pytest.mark.parametrize("limit", [1000, 3])
-def test_ten_requests_one_by_one(spark, limit):
-    done = served(stock.allocate(requests(spark, [7] * 10), stock_table(spark, (7, 100)), max_group_rows=limit))
+def test_ten_requests_one_by_one(spark):
+    done = served(stock.allocate(requests(spark, [7] * 10), stock_table(spark, (7, 100))))
     assert [d[2] for d in done] == list(range(100, 90, -1))
     assert [d[3] for d in done] == list(range(99, 89, -1))
     assert {d[4] for d in done} == {"accepted"}
 
 
-@pytest.mark.parametrize("limit", [1000, 2])
-def test_more_requests_than_stock(spark, limit):
-    done = served(stock.allocate(requests(spark, [7, 8, 7, 7, 9]), stock_table(spark, (7, 2), (8, 0)), max_group_rows=limit))
+def test_more_requests_than_stock(spark):
+    done = served(stock.allocate(requests(spark, [7, 8, 7, 7, 9]), stock_table(spark, (7, 2), (8, 0))))
     assert done == [
         (0, 1, 2, 1, "accepted"),
         (1, 1, 0, None, "sold out"),
@@ -50,17 +48,15 @@ def log(spark, reads, writes):
     return spark.createDataFrame(data, f"{REQUESTS}, read long, written long")
 
 
-@pytest.mark.parametrize("limit", [1000, 3])
-def test_unguarded_trace(spark, limit):
+def test_unguarded_trace(spark):
     unguarded = log(spark, [100] * 10, [99] * 10)
-    assert rows(stock.lost_updates(unguarded, F.lit(100), max_group_rows=limit)) == [(7, 10, 9)]
+    assert rows(stock.lost_updates(unguarded, F.lit(100))) == [(7, 10, 9)]
     assert rows(stock.verdict(unguarded, stock_table(spark, (7, 100)))) == [(7, 10, 10, 90, 1, 99, "lost update")]
 
 
-@pytest.mark.parametrize("limit", [1000, 3])
-def test_guarded_trace(spark, limit):
+def test_guarded_trace(spark):
     guarded = log(spark, range(100, 90, -1), range(99, 89, -1))
-    assert rows(stock.lost_updates(guarded, F.lit(100), max_group_rows=limit)) == [(7, 10, 0)]
+    assert rows(stock.lost_updates(guarded, F.lit(100))) == [(7, 10, 0)]
     assert rows(stock.verdict(guarded, stock_table(spark, (7, 100)))) == [(7, 10, 10, 90, 10, 90, "as expected")]
 
 
@@ -72,20 +68,18 @@ def test_refused_requests_and_other_writers(spark):
     assert stock.verdict(too_low, stock_table(spark, (7, 100))).first().outcome == "below expected"
 
 
-def test_daily_reads(spark):
-    day = timedelta(hours=13)
-    got = stock.daily_reads(requests(spark, [7, 7, 8, 7, 7], day), 100).orderBy("event_id")
-    assert [(r.event_id, r.read, r.written) for r in got.collect()] == [
-        (0, 100, 99), (1, 100, 99), (2, 100, 99), (3, 99, 98), (4, 98, 97)
-    ]
-
-
 def test_seed_listing_and_upsert(spark):
     products = spark.createDataFrame([(i, c) for i, c in enumerate("bcaab")], "product_id long, product_category_name string")
     inventory = spark.createDataFrame(
         [(1, 5, START), (3, 0, START)], "product_id long, stock_count int, updated_at timestamp_ntz"
     )
-    assert rows(stock.seed(products, inventory, 2)) == [(0, 100), (2, 100)]
+    seeded = stock.seed(products, inventory, START, 2)
+    assert rows(seeded) == [(0, 100, START), (2, 100, START)]
+    assert seeded.schema.names == INVENTORY.names
+    reseeded = stock.upsert(inventory, products, stock.stamped(seeded, START + timedelta(days=2)))
+    assert rows(reseeded.filter("action = 'inserted'")) == [
+        (k, 100, START + timedelta(days=2), "inserted") for k in (0, 2)
+    ]
     listed = stock.listing(products, inventory, 3).collect()
     assert [(r.product_id, r.label) for r in listed] == [
         (3, "3 | a | stock: 0"), (1, "1 | c | stock: 5"), (2, "2 | a | stock: not initialised")
@@ -98,7 +92,6 @@ def test_seed_listing_and_upsert(spark):
         (1, 8, later, "reset"), (3, 0, START, "kept"), (4, 7, later, "inserted")
     ]
     assert rows(stock.refused(products, incoming), "product_id") == [(99,)]
-    assert stock.stock_of(inventory, 3).first().stock_count == 0
 
 
 def test_batches_in_order_equal_one_allocation(spark):
@@ -110,5 +103,5 @@ def test_batches_in_order_equal_one_allocation(spark):
         part = everything.filter((F.col("event_id") >= low) & (F.col("event_id") < low + 6))
         # A batch that is run twice, as after a failure, counts once.
         for _ in range(2 if batch == 1 else 1):
-            reservation.reserve_batch(part, table, sink, batch, max_group_rows=4)
+            reservation.reserve_batch(part, table, sink, batch)
     assert served(reservation.settled(spark, sink)) == served(stock.allocate(everything, table))
