@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Bytes of text handled at a time; a longer single text is handled alone.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 

@@ -24,7 +24,8 @@ MAX_LANGUAGES = 400
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.01, 0.01
 UNDECIDED = "und"
-_ROWS = 192
+# Bytes and texts counted at a time.
+_BYTES, _ROWS = 1 << 19, 128
 
 
 @cache
@@ -68,7 +69,7 @@ def gram_counts(data: np.ndarray, offsets: np.ndarray, features: int = FEATURES)
 
 
 def _tables(batch) -> tuple[int, int, np.ndarray, np.ndarray]:
-    for low, high, data, offsets in blocks(batch.column("text"), most_rows=_ROWS):
+    for low, high, data, offsets in blocks(batch.column("text"), _BYTES, _ROWS):
         yield low, high, *gram_counts(data, offsets)
 
 
