@@ -23,6 +23,8 @@ from basketmill.llm.arrays import ALPHANUMERIC, Words, _VALUES, blocks, byte_set
 from basketmill.llm.staging import written
 
 TRAIN_ROWS = 16_000
+# Files of the bounded sample, so that several tasks read it.
+SAMPLE_PARTS = 16
 MAX_LEXICON = 20_000
 FOLDS = 4
 LEAST_TEXTS, LEAST_WEIGHT, STRONG = 2, 0.7, 2.2
@@ -243,7 +245,8 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
     chosen = written(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows), "toxic_labels")
     texts = id_and_text(docs).where(~held_out()).join(F.broadcast(chosen), "doc_id")
     fold = F.pmod(F.xxhash64(F.col("doc_id") + 1), F.lit(FOLDS)).cast("bigint").alias("fold")
-    sample = written(texts.select("doc_id", "text", "toxic", fold).orderBy(F.xxhash64("doc_id", "text")).limit(train_rows), "toxic_sample")
+    sample = texts.select("doc_id", "text", "toxic", fold).orderBy(F.xxhash64("doc_id", "text")).limit(train_rows)
+    sample = written(sample.repartition(SAMPLE_PARTS), "toxic_sample")
     sizes = {r["fold"]: (int(r["t"]), r["n"]) for r in sample.groupBy("fold").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).collect()}
     toxic, rows = sum(t for t, _ in sizes.values()), sum(n for _, n in sizes.values())
     if not toxic or toxic == rows:
