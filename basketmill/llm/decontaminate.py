@@ -274,3 +274,29 @@ def decontaminate(
     judged = _judged(docs, benchmark, window, block_chars, carried or {"_carried": F.lit(1)})
     back = [F.col(c) if c in ("doc_id", "text") else F.col(f"_carried_{i}").alias(c) for i, c in enumerate(docs.columns)]
     return judged.where(~_contaminated(one_in)).select(*back)
+
+
+# The same over documents and benchmark, as SQL: every window of every text, joined.
+ORACLE = r"""
+WITH lowered AS (
+  SELECT ROW_NUMBER() OVER () AS r, doc_id,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+d AS (SELECT r, doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered),
+b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+tested AS (
+  SELECT DISTINCT item, least(13, len(w)) AS size, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS passage
+  FROM b, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS places(i) WHERE len(w) > 0),
+held AS (
+  SELECT r, i, size, array_to_string(w[i : i + size - 1], ' ') AS passage
+  FROM d, (SELECT DISTINCT size FROM tested) AS sizes, unnest(range(1, len(w) - size + 2)) AS places(i)),
+hits AS (SELECT r, i, size, item FROM held JOIN tested USING (size, passage)),
+words AS (SELECT r, count(DISTINCT i + k) AS n_hit FROM hits, unnest(range(0, size)) AS steps(k) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""

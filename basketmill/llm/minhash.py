@@ -220,3 +220,24 @@ def deduplicate(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     keyed = docs.withColumns({"_own_id": F.col("doc_id").cast("bigint"), "_own_hash": F.xxhash64(F.col("text").cast("string"))})
     same = keyed["_own_id"].eqNullSafe(kept["_kept_id"]) & (keyed["_own_hash"] == kept["_kept_hash"])
     return keyed.join(kept, same).dropDuplicates(["_own_id", "_own_hash"]).select(*docs.columns)
+
+
+# The same over documents, as SQL: all pairs that share a shingle, and all documents that can be reached.
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT ROW_NUMBER() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT r, array_to_string(w[i : i + 4], ' ') AS shingle
+  FROM d, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS places(i) WHERE len(w) > 0),
+n AS (SELECT r, count(*) AS size FROM s GROUP BY r),
+pairs AS (SELECT a.r AS x, b.r AS y, count(*) AS common FROM s a JOIN s b USING (shingle) WHERE a.r <> b.r GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN n a ON a.r = x JOIN n b ON b.r = y
+  WHERE 100 * common >= 85 * (a.size + b.size - common)),
+reached AS (SELECT r AS x, r AS y FROM d UNION SELECT reached.x, links.y FROM reached JOIN links ON links.x = reached.y),
+least AS (SELECT x AS r, min(doc_id) AS component_id FROM reached JOIN d ON d.r = reached.y GROUP BY x)
+SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN least USING (r) LEFT JOIN n USING (r)
+"""

@@ -71,4 +71,8 @@ QUERIES = {
         op10_mixing,
     )
 }
-ORACLE: dict[str, str] = {"op7_preference": preference.ORACLE}
+ORACLE: dict[str, str] = {
+    "op3_decontaminate": decontaminate.ORACLE,
+    "op4_minhash": minhash.ORACLE,
+    "op7_preference": preference.ORACLE,
+}
