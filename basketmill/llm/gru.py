@@ -141,6 +141,19 @@ def score_texts(flat: np.ndarray, shape: Shape, texts: list[np.ndarray], window:
     return total
 
 
+def _loss_and_error(x: np.ndarray, picked: np.ndarray, n: int) -> tuple[float, np.ndarray]:
+    """Summed log loss of the picked columns, and its slope over ``n`` by the scores ``x``, which are overwritten."""
+    at = np.arange(len(x))
+    x -= x.max(axis=1, keepdims=True)
+    chosen = x[at, picked].sum(dtype=np.float64)
+    np.exp(x, out=x)
+    total = x.sum(axis=1, keepdims=True)
+    x /= total
+    x[at, picked] -= 1
+    x /= n
+    return float(np.log(total).sum(dtype=np.float64) - chosen), x
+
+
 def loss_and_slope(flat: np.ndarray, shape: Shape, ids: np.ndarray, before: np.ndarray, state: np.ndarray) -> tuple:
     """Mean log loss of a window of ids (steps, lanes), its slope, and the last state.
 
@@ -151,66 +164,78 @@ def loss_and_slope(flat: np.ndarray, shape: Shape, ids: np.ndarray, before: np.n
     g = shape.views(slope)
     steps, lanes = ids.shape
     n = ids.size
-    kept, states = [], np.empty((steps, lanes, h), dtype=flat.dtype)
+    went_on = (before >= 0).astype(flat.dtype)[:, :, None]
+    gates = p["input"][np.maximum(before, 0)]
+    gates *= went_on
+    gates += p["first"]
+    kept, olds, states = [], np.empty((steps, lanes, h), dtype=flat.dtype), np.empty((steps, lanes, h), dtype=flat.dtype)
     for t in range(steps):
-        starts = before[t] < 0
-        state = np.where(starts[:, None], 0, state).astype(flat.dtype)
-        gates = np.where(starts[:, None], 0, p["input"][np.maximum(before[t], 0)]) + p["first"]
-        new, keep, reset, inner, fresh = _step(gates, state, p["carry"], h)
-        kept.append((state, keep, reset, inner, fresh, starts))
+        np.multiply(state, went_on[t], out=olds[t])
+        new, keep, reset, inner, fresh = _step(gates[t], olds[t], p["carry"], h)
+        kept.append((keep, reset, inner, fresh))
         states[t] = state = new
-    flat_states, flat_ids = states.reshape(n, h), ids.reshape(n)
-    group = np.minimum(flat_ids // shape.members, shape.classes)
-    scores = _log_softmax(flat_states @ p["class_out"] + p["class_bias"])
-    loss = -scores[np.arange(n), group].sum()
-    error = np.exp(scores)
-    error[np.arange(n), group] -= 1
-    error /= n
-    g["class_out"][:] = flat_states.T @ error
-    g["class_bias"][:] = error.sum(axis=0)
-    back = error @ p["class_out"].T
+    # Rows in the order of their classes, so that each class is one slice.
+    flat_ids = ids.reshape(n)
+    group = np.minimum(flat_ids // shape.members, shape.classes).astype(np.int16)
     order = np.argsort(group, kind="stable")
     borders = np.searchsorted(group[order], np.arange(shape.classes + 1))
+    rows, group = states.reshape(n, h)[order], group[order]
+    loss, error = _loss_and_error(rows @ p["class_out"] + p["class_bias"], group, n)
+    g["class_out"][:] = rows.T @ error
+    g["class_bias"][:] = error.sum(axis=0)
+    down_rows = error @ p["class_out"].T
+    places = flat_ids[order] - group.astype(np.int64) * shape.members
     for c in range(shape.classes):
-        rows = order[borders[c] : borders[c + 1]]
-        if len(rows):
-            inner = _log_softmax(flat_states[rows] @ p["word_out"][c] + p["word_bias"][c])
-            place = flat_ids[rows] - c * shape.members
-            loss -= inner[np.arange(len(rows)), place].sum()
-            error = np.exp(inner)
-            error[np.arange(len(rows)), place] -= 1
-            error /= n
-            g["word_out"][c] = flat_states[rows].T @ error
+        low, high = borders[c], borders[c + 1]
+        if low < high:
+            some = rows[low:high]
+            more, error = _loss_and_error(some @ p["word_out"][c] + p["word_bias"][c], places[low:high], n)
+            loss += more
+            g["word_out"][c] = some.T @ error
             g["word_bias"][c] = error.sum(axis=0)
-            back[rows] += error @ p["word_out"][c].T
-    back = back.reshape(steps, lanes, h)
+            down_rows[low:high] += error @ p["word_out"][c].T
+    back = np.empty_like(states)
+    back.reshape(n, h)[order] = down_rows
     carried = np.zeros((lanes, h), dtype=flat.dtype)
+    d_gates, d_own = np.empty_like(gates), np.empty_like(gates)
     for t in range(steps - 1, -1, -1):
-        old, keep, reset, inner, fresh, starts = kept[t]
+        keep, reset, inner, fresh = kept[t]
         down = back[t] + carried
         d_fresh = down * (1 - keep) * (1 - fresh * fresh)
-        d_keep = down * (old - fresh) * keep * (1 - keep)
-        d_reset = d_fresh * inner * reset * (1 - reset)
-        d_gates = np.concatenate([d_keep, d_reset, d_fresh], axis=1)
-        d_own = np.concatenate([d_keep, d_reset, d_fresh * reset], axis=1)
-        g["carry"] += old.T @ d_own
-        carried = np.where(starts[:, None], 0, d_own @ p["carry"].T + down * keep)
-        g["first"] += d_gates.sum(axis=0)
-        inside = ~starts
-        np.add.at(g["input"], before[t][inside], d_gates[inside])
+        d_gates[t, :, :h] = d_own[t, :, :h] = down * (olds[t] - fresh) * keep * (1 - keep)
+        d_gates[t, :, h : 2 * h] = d_own[t, :, h : 2 * h] = d_fresh * inner * reset * (1 - reset)
+        d_gates[t, :, 2 * h :] = d_fresh
+        d_own[t, :, 2 * h :] = d_fresh * reset
+        carried = (d_own[t] @ p["carry"].T + down * keep) * went_on[t]
+    g["carry"][:] = olds.reshape(n, h).T @ d_own.reshape(n, 3 * h)
+    d_gates = d_gates.reshape(n, 3 * h)
+    g["first"][:] = d_gates.sum(axis=0)
+    inside = np.flatnonzero(before.reshape(n) >= 0)
+    if len(inside):
+        words = before.reshape(n)[inside]
+        order = np.argsort(words, kind="stable")
+        words = words[order]
+        heads = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
+        g["input"][words[heads]] = np.add.reduceat(d_gates[inside[order]], heads, axis=0)
     return loss / n, slope, state
 
 
 def train_windows(flat: np.ndarray, shape: Shape, texts: list[np.ndarray], rate: float = 0.01, lanes: int = 32, window: int = 16) -> np.ndarray:
-    """One pass over the texts, laid end to end on parallel lanes, with Adam; the state is carried from window to window."""
-    if not texts:
+    """One pass over the texts, laid end to end on parallel lanes, with Adam; the state is carried from window to window.
+
+    The last lane is filled up from the first texts, so that no token is left out.
+    """
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    if not sizes.sum():
         return flat
     flat = flat.copy()
-    ids = np.concatenate(texts)
-    before = np.concatenate([np.concatenate([[-1], t[:-1]]) for t in texts if len(t)])
+    ids = np.concatenate(texts).astype(np.int64)
+    before = np.append(-1, ids[:-1])
+    starts = np.cumsum(sizes) - sizes
+    before[starts[sizes > 0]] = -1
     lanes = max(1, min(lanes, len(ids) // window))
-    per = len(ids) // lanes
-    ids, before = ids[: per * lanes].reshape(lanes, per).T, before[: per * lanes].reshape(lanes, per).T
+    per = -(-len(ids) // lanes)
+    ids, before = np.resize(ids, lanes * per).reshape(lanes, per).T, np.resize(before, lanes * per).reshape(lanes, per).T
     state = np.zeros((lanes, shape.hidden), dtype=np.float32)
     first, second = np.zeros_like(flat), np.zeros_like(flat)
     for turn, begin in enumerate(range(0, per, window), 1):

@@ -5,8 +5,9 @@ many as fit a stated bound, travel to the tasks as a sorted table; rarer words o
 with the counts by hash, and being rare they cannot crowd a key. The recurrent model knows the most frequent
 few thousand words; the others form one class, inside which their smoothed counts decide.
 
-It learns from one in ``train_one_in`` training documents, so what it reads grows with the corpus. Each round,
-tasks train copies on their own documents and the copies are averaged by Spark.
+It learns from every training document once: the documents are dealt over the rounds by a hash of id and text,
+and stored as word numbers. Each round, tasks train copies on their own documents and the copies are averaged by
+Spark, each by the tokens it has seen.
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ from basketmill.llm.staging import written
 SMOOTHING = 0.1
 SENT_WORDS = 1 << 17
 SHAPE = gru.Shape(members=32, classes=64)
-TRAIN_ONE_IN = 16
+TRAIN_ONE_IN = 1
 ROUNDS = 4
-SHARD_TOKENS = 400_000
+SHARD_TOKENS = 2_000_000
+# About as many steps are taken over a shard, on at most so many lanes.
+SHARD_STEPS, LANES = 200, 512
 END = np.uint64(0x454E44)
 _FLUSH_WORDS = 1 << 20
 
@@ -123,18 +126,40 @@ def frequencies(counts: DataFrame, sent_words: int = SENT_WORDS) -> Frequencies:
     )
 
 
-def _trained(flat: np.ndarray, table: Frequencies):
-    def train(batches):
-        texts = []
+def _numbered(table: Frequencies):
+    """Texts as the model's word numbers, two bytes each."""
+
+    def number(batches):
         for batch in batches:
+            ids = []
             for _, hashes, first in tokens(batch.column("text")):
-                ids = table.ids(table.places(hashes))
-                texts += [ids[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
-        size = sum(map(len, texts))
-        if size >= 256:
-            new = gru.train_windows(flat, SHAPE, texts)
+                numbers = table.ids(table.places(hashes)).astype(np.uint16)
+                ids += [numbers[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("round"), pa.array(ids, pa.binary())], ["round", "ids"])
+
+    return number
+
+
+def _trained(flat: np.ndarray, shard_tokens: int):
+    """A copy trained on all texts of the task, one run of bounded size after the other."""
+
+    def train(batches):
+        def after(texts, held):
+            lanes = min(max(held // (16 * SHARD_STEPS), 32), LANES)
+            return gru.train_windows(own, SHAPE, texts, lanes=lanes)
+
+        own, texts, held, size = flat, [], 0, 0
+        for batch in batches:
+            for ids in batch.column("ids"):
+                texts.append(np.frombuffer(ids.as_buffer(), dtype=np.uint16))
+                held += len(texts[-1])
+                if held >= 2 * shard_tokens:
+                    own, texts, held, size = after(texts, held), [], 0, size + held
+        if held:
+            own, size = after(texts, held), size + held
+        if size:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(new)), pa.int64()), pa.array(new.astype(np.float64) * size), pa.array(np.full(len(new), size), pa.int64())],
+                [pa.array(np.arange(len(own)), pa.int64()), pa.array(own.astype(np.float64) * size), pa.array(np.full(len(own), size), pa.int64())],
                 ["place", "value", "weight"],
             )
 
@@ -142,18 +167,18 @@ def _trained(flat: np.ndarray, table: Frequencies):
 
 
 def learn(train_docs: DataFrame, table: Frequencies, one_in: int = TRAIN_ONE_IN, rounds: int = ROUNDS) -> np.ndarray:
-    """The parameters after averaging copies over ``rounds`` parts of the chosen documents."""
+    """The parameters after averaging copies over ``rounds`` parts of the documents, or of one in ``one_in`` of them."""
     by_rank = np.zeros(SHAPE.words)
     known = table.ranks < SHAPE.words
     by_rank[table.ranks[known]] = table.counts[known]
     flat = gru.start(SHAPE, by_rank, float(table.other_tokens))
-    place = F.pmod(F.xxhash64(F.lit("lm"), "doc_id"), F.lit(one_in * rounds))
-    chosen = train_docs.where(place < rounds).select("text", place.alias("round"))
-    chosen = written(chosen, "lm_sample")
+    place = F.pmod(F.xxhash64(F.lit("lm"), "doc_id", "text"), F.lit(one_in * rounds))
+    chosen = train_docs.select("text", place.alias("round")).where(F.col("round") < rounds)
+    chosen = written(chosen.mapInArrow(_numbered(table), "round bigint, ids binary"), "lm_sample")
     shards = max(1, round(table.tokens / one_in / rounds / SHARD_TOKENS))
     for turn in range(rounds):
-        part = chosen.where(F.col("round") == turn).select("text").repartition(shards)
-        sums = part.mapInArrow(_trained(flat, table), "place bigint, value double, weight bigint").groupBy("place")
+        part = chosen.where(F.col("round") == turn).select("ids").repartition(shards)
+        sums = part.mapInArrow(_trained(flat, SHARD_TOKENS), "place bigint, value double, weight bigint").groupBy("place")
         found = sums.agg((F.sum("value") / F.sum("weight")).alias("value")).toArrow()
         if found.num_rows:
             flat = np.empty_like(flat)

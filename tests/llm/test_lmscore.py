@@ -99,3 +99,32 @@ def test_edge_cases(spark):
     only = [r for r in rows if r[0] in held]
     check(lmscore.score_documents(docs.where(docs.doc_id.isin(held))), only)
     assert lmscore.score_documents(docs.where("false")).count() == 0
+
+
+def test_learns_from_every_document(spark, monkeypatch):
+    seen = {}
+
+    def write(df, name, real=lmscore.written):
+        seen[name] = real(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(lmscore, "written", write)
+    rows = [(None if i % 2 else i, f"null ids {i} differ") for i in range(400)]
+    docs = spark.createDataFrame([(*r, "en", "x") for r in rows], SCHEMA)
+    lmscore.score_documents(docs).collect()
+    sample = seen["lm_sample"].collect()
+    training = [r for r in rows if r[0] is None or zlib.crc32(str(r[0]).encode()) % 10]
+    assert len(sample) == len(training) and {r["round"] for r in sample} == set(range(lmscore.ROUNDS))
+
+
+def test_small_shards_and_last_tokens_count(spark):
+    docs = spark.createDataFrame([(None, "a b a b a b", "en", "x")] * 3, SCHEMA)
+    counts = spark.createDataFrame([(w, n) for w, n in ((1, 9), (2, 9), (3, 3))], "word bigint, n bigint")
+    table = lmscore.frequencies(counts)
+    begun = lmscore.learn(docs.where("false"), table)
+    assert not np.array_equal(lmscore.learn(docs, table), begun)
+    shape = gru.Shape(members=4, classes=2, hidden=8)
+    flat = gru.start(shape, np.full(8, 100.0), 1.0)
+    texts = [np.tile([0, 1, 2], 11), np.array([7])]
+    last = [gru.train_windows(flat, shape, [texts[0], t], lanes=3) for t in (texts[1], texts[1] - 1)]
+    assert not np.array_equal(*last)
