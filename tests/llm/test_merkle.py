@@ -37,6 +37,11 @@ def test_tree():
     assert len(fingerprint("x" * 300_000)) < 200
 
 
+def test_pieces_realign_inside_a_paragraph():
+    words = [f"w{i}" + "." * (i % 4 == 3) for i in range(1200)]
+    assert likeness(fingerprint(" ".join(words)), fingerprint(" ".join(words[:101] + words[102:]))) > 0.98
+
+
 def test_given_documents(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     plain = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
