@@ -84,24 +84,27 @@ def band_keys(table: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return mix(keys + np.arange(1, size // rows + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)).view(np.int64)
 
 
-def _sketched(batches):
-    for batch in batches:
-        counts, nodes, bands = [], [], []
-        for _, _, data, offsets in blocks(batch.column("text"), most_rows=2000):
-            sets = shingle_sets(data, offsets)
-            keys = band_keys(sketches(sets))
-            counts += [len(s) for s in sets]
-            nodes += [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None for s in sets]
-            bands += [k if len(s) else None for s, k in zip(sets, keys, strict=True)]
-        yield pa.RecordBatch.from_pydict(
-            {
-                "doc_id": batch.column("doc_id"),
-                "text_hash": batch.column("text_hash"),
-                "n_shingles": pa.array(counts, pa.int64()),
-                "node": pa.array(nodes, pa.int64()),
-                "bands": pa.array(bands, pa.list_(pa.int64())),
-            }
-        )
+def _sketched(n_bands: int, rows: int):
+    def sketched(batches):
+        for batch in batches:
+            counts, nodes, bands = [], [], []
+            for _, _, data, offsets in blocks(batch.column("text"), most_rows=2000):
+                sets = shingle_sets(data, offsets)
+                keys = band_keys(sketches(sets, n_bands * rows), rows)
+                counts += [len(s) for s in sets]
+                nodes += [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None for s in sets]
+                bands += [k if len(s) else None for s, k in zip(sets, keys, strict=True)]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": batch.column("doc_id"),
+                    "text_hash": batch.column("text_hash"),
+                    "n_shingles": pa.array(counts, pa.int64()),
+                    "node": pa.array(nodes, pa.int64()),
+                    "bands": pa.array(bands, pa.list_(pa.int64())),
+                }
+            )
+
+    return sketched
 
 
 def similar(own: int, other: int, common: int, percent: int = PERCENT) -> bool:
@@ -141,26 +144,29 @@ def spanning_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple
     return links
 
 
-def _verified(batches):
+def _verified(percent: int):
     """Spanning links of every run of rows with the same cluster and blocks."""
 
-    def links(nodes, texts):
-        column = pa.array(texts, pa.large_string())
-        sets = [s for _, _, data, offsets in blocks(column) for s in shingle_sets(data, offsets)]
-        return [(nodes[a], nodes[b]) for a, b in spanning_links(sets)] if len(sets) > 1 else []
-
-    key, nodes, texts, found = None, [], [], []
-    for batch in batches:
-        for label, i, j, node, text in zip(*(batch.column(c).to_pylist() for c in ("label", "i", "j", "node", "text")), strict=True):
-            if (label, i, j) != key:
-                found += links(nodes, texts)
-                key, nodes, texts = (label, i, j), [], []
-            nodes.append(node)
-            texts.append(text)
-    found += links(nodes, texts)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["a", "b"]
-    )
+    def verified(batches):
+        def links(nodes, texts):
+            column = pa.array(texts, pa.large_string())
+            sets = [s for _, _, data, offsets in blocks(column) for s in shingle_sets(data, offsets)]
+            return [(nodes[a], nodes[b]) for a, b in spanning_links(sets, percent)] if len(sets) > 1 else []
+
+        key, nodes, texts, found = None, [], [], []
+        for batch in batches:
+            for label, i, j, node, text in zip(*(batch.column(c).to_pylist() for c in ("label", "i", "j", "node", "text")), strict=True):
+                if (label, i, j) != key:
+                    found += links(nodes, texts)
+                    key, nodes, texts = (label, i, j), [], []
+                nodes.append(node)
+                texts.append(text)
+        found += links(nodes, texts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["a", "b"]
+        )
+
+    return verified
 
 
 def _loose_clusters(docs: DataFrame) -> DataFrame:
@@ -185,38 +191,50 @@ def _dealt(docs: DataFrame, classes: DataFrame, loose: DataFrame, block_chars: i
     return placed.select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "text")
 
 
-def near_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def near_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id and kept, and the hash of its text as text_hash.
 
     Words are runs without white space, A-Z read as a-z; a text of fewer words than a shingle is one
     shingle. A null or blank text has no shingles and is linked with nothing: its component is itself.
-    component_id is the smallest id that can be reached over links of similarity 0.85 or more, null only
+    component_id is the smallest id that can be reached over links of similarity ``percent`` or more, null only
     where no reachable document has an id. Repeated rows share everything; all rows with the smallest id
-    are marked as kept.
+    are marked as kept. A pair at similarity s shares no band with probability (1 - s ** rows) ** bands.
     """
+    return _judged(docs, block_chars, percent, bands, rows).drop("group")
+
+
+def _judged(docs: DataFrame, block_chars: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """``near_duplicates`` and the group of each row: one number per component, null without shingles."""
     source = id_and_text(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     hashed = source.withColumn("text_hash", F.xxhash64("text"))
-    own = written(hashed.mapInArrow(_sketched, "doc_id bigint, text_hash bigint, n_shingles bigint, node bigint, bands array<bigint>"), "sketches")
+    own = written(hashed.mapInArrow(_sketched(bands, rows), "doc_id bigint, text_hash bigint, n_shingles bigint, node bigint, bands array<bigint>"), "sketches")
     spot = F.coalesce("doc_id", F.lit(_NO_ID))
     classes = own.where("node IS NOT NULL").groupBy("node")
     classes = written(classes.agg(F.min(spot).alias("spot"), F.min_by("text_hash", spot).alias("spot_hash")), "classes")
     dealt = _dealt(source, classes, _loose_clusters(own), block_chars)
-    links = dealt.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "node").mapInArrow(_verified, "a bigint, b bigint")
+    links = dealt.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "node").mapInArrow(_verified(percent), "a bigint, b bigint")
     linked = components(links, "links")
     least = linked.join(classes, "node").groupBy("label").agg(F.min("spot").alias("least"))
-    least = linked.join(least, "label").select("node", "least")
-    smallest = written(classes.join(least, "node", "left").select("node", F.coalesce("least", "spot").alias("least")), "smallest")
+    least = linked.join(least, "label").select("node", "least", "label")
+    smallest = classes.join(least, "node", "left").select("node", F.coalesce("least", "spot").alias("least"), F.coalesce("label", "node").alias("group"))
+    smallest = written(smallest, "smallest")
     joined = own.drop("bands").join(smallest, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.nullif("least", F.lit(_NO_ID)))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), "text_hash").withColumn(
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"), "text_hash", "group").withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
 
-def deduplicate(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One document of each group of near duplicates, with the columns it came with; repeated rows count as a group."""
-    kept = near_duplicates(docs, block_chars).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
-    kept = written(kept.distinct(), "kept")
+def deduplicate(docs: DataFrame, block_chars: int = BLOCK_CHARS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One document of each group of near duplicates, with the columns it came with; repeated rows count as a group.
+
+    It is the one of the smallest id; of several with that id, or of several without any, the one of the least text hash.
+    """
+    kept = _judged(docs, block_chars, percent, bands, rows).where("kept")
+    # Texts without shingles are groups of their own by id and text.
+    kept = kept.groupBy("group", F.when(F.col("group").isNull(), F.struct("doc_id", "text_hash")).alias("own"))
+    kept = kept.agg(F.min("doc_id").alias("_kept_id"), F.min("text_hash").alias("_kept_hash")).select("_kept_id", "_kept_hash")
+    kept = written(kept, "kept")
     keyed = docs.withColumns({"_own_id": F.col("doc_id").cast("bigint"), "_own_hash": F.xxhash64(F.col("text").cast("string"))})
     same = keyed["_own_id"].eqNullSafe(kept["_kept_id"]) & (keyed["_own_hash"] == kept["_kept_hash"])
     return keyed.join(kept, same).dropDuplicates(["_own_id", "_own_hash"]).select(*docs.columns)

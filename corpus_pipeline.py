@@ -18,6 +18,10 @@ from basketmill.llm.staging import written
 
 # Below this calibrated probability a language counts as unknown.
 LEAST_SCORE = 0.3
+# Documents of this percentage of common shingles (five words) or more are near duplicates.
+LEAST_ALIKE = 80
+# A pair at 0.80 shares none of 64 bands of 7 coordinates with probability 3e-7.
+BANDS, ROWS = 64, 7
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +29,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.deduplicate(docs)
+    return minhash.deduplicate(docs, percent=LEAST_ALIKE, bands=BANDS, rows=ROWS)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

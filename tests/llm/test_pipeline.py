@@ -83,3 +83,24 @@ def test_one_query_per_sql(spark, small):
     db = database(small)
     for name, sql in ORACLE.items():
         assert compare(contract.queries()[name](spark, small), db, sql)[0] == []
+
+
+def test_near_duplicates_stage_links_from_080(spark):
+    words = [f"w{i}" for i in range(100)]
+    light = [*words[:30], "x", *words[31:60], "y", *words[61:]]  # 86 of 106 shingles are common: 0.81
+    heavy = [f"v{i}" for i in range(100)]
+    other = [*heavy[:20], "x", *heavy[21:50], "y", *heavy[51:80], "z", *heavy[81:]]  # 81 of 111: 0.73
+    rows = [(i, " ".join(w)) for i, w in enumerate((words, light, heavy, other))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [0, 2, 3]
+
+
+def test_one_document_of_a_group_with_equal_or_no_ids(spark):
+    def copies(mark):
+        return [" ".join([f"{mark}{i}" for i in range(100)] + [end]) for end in ("x", "y", "z")]
+
+    rows = [(None, t) for t in copies("a")] + [(7, t) for t in copies("b")] + [(7, t) for t in copies("c")]
+    rows += [(None, None), (8, ""), (9, " ")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = [(r.doc_id, (r.text or "")[:1]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert sorted(kept, key=repr) == sorted([(None, "a"), (7, "b"), (7, "c"), (None, ""), (8, ""), (9, " ")], key=repr)
