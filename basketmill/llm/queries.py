@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketmill.llm import decontaminate, langid, lmscore, merkle, minhash, mixing, preference, secrets, toxicity, urlrules
+from basketmill.llm import decontaminate, langid, lmscore, merkle, minhash, mixing, preference, secrets, substrings, toxicity, urlrules
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs, labels.select("doc_id", mixing.label_domain().alias("domain"))).drop("text")
 
 
+def op11_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.digest(substrings.remove_repeats(_table(spark, folder, "documents")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -69,10 +73,12 @@ QUERIES = {
         op8_gru,
         op9_language,
         op10_mixing,
+        op11_substrings,
     )
 }
 ORACLE: dict[str, str] = {
     "op3_decontaminate": decontaminate.ORACLE,
     "op4_minhash": minhash.ORACLE,
     "op7_preference": preference.ORACLE,
+    "op11_substrings": substrings.ORACLE,
 }
