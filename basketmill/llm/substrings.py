@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from basketmill.llm.arrays import SPACED, Words, blocks, mix, span_hashes, split_words
 
 WINDOW = 50
-# Windows that a task sorts together, or flagged hashes that it groups by document.
+# Windows that a task sorts together.
 BLOCK_WINDOWS = 1 << 20
 # Bytes of text whose windows make one bucket.
 BUCKET_BYTES = 1 << 20
@@ -141,22 +141,13 @@ def _sent(size: int, buckets: int):
     return send
 
 
-_FOUND = pa.schema([("late", pa.bool_()), ("id", pa.int64()), ("hashes", pa.binary())])
-
-
-def _by_document(parts: list[tuple]) -> pa.RecordBatch:
-    hashes, ids, late = (np.concatenate(column) for column in zip(*parts, strict=True))
-    order = np.lexsort((ids, late))
-    hashes, ids, late = hashes[order], ids[order], late[order]
-    change = np.ones(len(ids), dtype=bool)
-    change[1:] = (ids[1:] != ids[:-1]) | (late[1:] != late[:-1])
-    at = np.flatnonzero(change)
-    rows = [hashes[a:b].tobytes() for a, b in zip(at, np.append(at, len(ids))[1:], strict=True)]
-    return pa.RecordBatch.from_pydict({"late": late[at], "id": ids[at], "hashes": rows}, schema=_FOUND)
+def _found(part: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    hashes, ids, late = part
+    return pa.RecordBatch.from_arrays([pa.array(late), pa.array(ids), pa.array(hashes.view(np.int64))], ["late", "id", "hash"])
 
 
 def _compared(batches):
-    """Rows in the order of their bucket: hashes to remove, by document."""
+    """Rows in the order of their bucket: documents and hashes to remove from them."""
 
     def rows():
         for batch in batches:
@@ -165,13 +156,11 @@ def _compared(batches):
                 values = np.frombuffer(hashes, dtype=np.uint64)
                 yield bucket, repeats, (values, _unpacked(ids), np.full(len(values), late))
 
-    found, held = [], 0
     for _, members in groupby(rows(), key=lambda row: row[0]):
         sent = []
         for _, repeats, part in members:
             if repeats:
-                found.append(part)
-                held += len(part[0])
+                yield _found(part)
             else:
                 sent.append(part)
         if sent:
@@ -179,13 +168,7 @@ def _compared(batches):
             order = np.lexsort((ids, late, hashes))
             hashes, ids, late = hashes[order], ids[order], late[order]
             repeats, _ = _verdicts(hashes, ids, late)
-            found.append((hashes[repeats], ids[repeats], late[repeats]))
-            held += len(found[-1][0])
-        if held >= BLOCK_WINDOWS:
-            yield _by_document(found)
-            found, held = [], 0
-    if held:
-        yield _by_document(found)
+            yield _found((hashes[repeats], ids[repeats], late[repeats]))
 
 
 def _kept_texts(data: np.ndarray, words: Words, kept: np.ndarray) -> pa.Array:
@@ -225,15 +208,17 @@ def _removed(size: int):
     def remove(batches):
         for batch in batches:
             ids, found = batch.column("doc_id"), batch.column("found")
+            gone_hashes = found.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            limits = found.offsets.to_numpy()
             for low, high, data, offsets in blocks(batch.column("text")):
                 words, hashes, starts = _text_windows(data, offsets, size)
                 marks = np.zeros(len(words.starts) + size + 1, dtype=np.int64)
                 borders = np.searchsorted(starts, words.first)
                 for text in range(high - low):
-                    parts = found[low + text].as_py()
-                    if parts:
+                    hits = gone_hashes[limits[low + text] : limits[low + text + 1]]
+                    if len(hits):
                         own = slice(borders[text], borders[text + 1])
-                        hit = starts[own][np.isin(hashes[own], np.frombuffer(b"".join(parts), dtype=np.uint64))]
+                        hit = starts[own][np.isin(hashes[own], hits)]
                         marks[hit] += 1
                         marks[hit + size] -= 1
                 gone = np.cumsum(marks[: len(words.starts)]) > 0
@@ -274,8 +259,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
         _sent(size, buckets), "bucket bigint, late boolean, repeats boolean, hashes binary, ids binary"
     )
     dealt = sent.repartition("bucket").sortWithinPartitions("bucket")
-    found = dealt.mapInArrow(_compared, "late boolean, id bigint, hashes binary")
-    found = found.groupBy("late", "id").agg(F.collect_list("hashes").alias("found"))
+    found = dealt.mapInArrow(_compared, "late boolean, id bigint, hash bigint")
+    found = found.groupBy("late", "id").agg(F.collect_list("hash").alias("found"))
     kind = source.schema["doc_id"].dataType.simpleString()
     return (
         source.join(found, ["late", "id"], "left")
