@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketmill.llm import decontaminate, langid, lmscore, merkle, minhash, mixing, preference, secrets, substrings, toxicity, urlrules
+from basketmill.llm import (
+    decontaminate,
+    langid,
+    lmscore,
+    merkle,
+    minhash,
+    mixing,
+    preference,
+    secrets,
+    substrings,
+    toxicity,
+    urlrules,
+    variants,
+    whitening,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,6 +74,14 @@ def op11_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.digest(substrings.remove_repeats(_table(spark, folder, "documents")))
 
 
+def op12_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_variants(_table(spark, folder, "documents"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -74,6 +96,8 @@ QUERIES = {
         op9_language,
         op10_mixing,
         op11_substrings,
+        op12_variants,
+        op13_whitening,
     )
 }
 ORACLE: dict[str, str] = {
