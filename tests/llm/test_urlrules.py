@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from basketmill.llm.urlrules import LISTED, UrlRule, judge_urls, mine, mined_verdict, without_redundant
+from basketmill.llm.urlrules import LISTED, UrlRule, judge_urls, mine, mined_rules, mined_verdict, without_redundant
 
 SCHEMA = "page_id bigint, url string, host string, rule string"
 
@@ -86,6 +86,37 @@ def test_mined_rules_are_all_rules(spark):
     assert {(r.tokens, r.verdict, round(r.confidence, 9)) for r in mine(df, min_support=0.05)} == want
 
 
+def test_common_tokens_crowd_out_no_rule(spark):
+    """A hot source with twelve query keys on every page has 4,095 equally sure supersets; the other source keeps its rule."""
+    keys = "&".join(f"k{i}=1" for i in range(12))
+    urls = [f"http://hot.net/a?{keys}" for _ in range(600)]
+    urls += [f"http://good.{'example.net/en/' if i % 20 else 'net/x/'}{i}" for i in range(100)]
+    rng = random.Random(8)
+    urls += [f"http://{rng.choice('abcd')}.{rng.choice(['net', 'org'])}/{rng.choice(['en', 'fr'])}/x" for _ in range(300)]
+    rows = [(sorted(plain_tokens(u, *plain_parts(u))), plain_rule(*plain_parts(u))[1]) for u in urls]
+    df = spark.createDataFrame(rows, "tokens array<string>, verdict string").where("verdict IS NOT NULL")
+    mined = mined_rules(df)
+    rules = {(tuple(r["items"]), r.verdict): r.confidence for r in mined.rules.collect()}
+    assert round(rules[("h:good",), "allow"], 3) == 0.95
+    items = {}
+    for r in mined.members.collect():
+        items.setdefault(r.item, set()).add(r.token)
+    assert max(len(tokens) for tokens in items.values()) >= 12 and len(rules) < 200
+    judged = {r.page_id: r for r in judge_urls(spark.createDataFrame(list(enumerate([*urls, "http://good.com/1", "http://z.com/?k3=1"])), "page_id int, url string")).collect()}
+    assert (judged[len(urls)].verdict, judged[len(urls)].by) == ("allow", "mined")
+    # One of twelve tokens that always came together is enough, as each alone is a rule.
+    assert (judged[len(urls) + 1].verdict, judged[len(urls) + 1].by) == ("block", "mined")
+
+
+def test_more_rules_than_the_old_bound(spark):
+    """Eleven tokens that never share all pages: each of 2,047 combinations is a sure rule, all but eleven redundant."""
+    rows = [([f"t{k}" for k in range(11) if k != i], "block") for i in range(11) for _ in range(3)]
+    rows += [([f"t{k}" for k in range(11)], "block")] * 4 + [(["u"], "allow")] * 9 + [(["u"], "block")] * 2
+    df = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    found = {(r.tokens, r.verdict, round(r.confidence, 3)) for r in mine(df)}
+    assert found == {((f"t{k}",), "block", 1.0) for k in range(11)} | {(("u",), "allow", 0.818)}
+
+
 def test_index_finds_the_best_rule(spark):
     rules = [UrlRule(("a",), "allow", 0.8, 0.5), UrlRule(("a", "b"), "block", 0.9, 0.1), UrlRule(("c",), "block", 0.9, 0.1)]
     df = spark.createDataFrame([(["a"],), (["a", "b"],), (["x"],), ([],), (["c", "a"],)], "tokens array<string>")
