@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketmill.llm.staging import written
+from basketmill.operators.ordering import number_rows
 
 ANSWERS = "assistant"
 OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
@@ -28,6 +29,31 @@ def neighbour_pairs(turns: DataFrame) -> DataFrame:
     return turns.where("conv_id IS NOT NULL").select(pair.alias("pair_id"), side.alias("side"), "turn", "role", "text")
 
 
+def swapped_answers(turns: DataFrame) -> DataFrame:
+    """Every conversation as chosen, and as rejected with its last answer replaced by another conversation's.
+
+    The last answer is what the assistant says in the highest turn that has an answer (a null turn is the lowest; of several
+    answers in it all are replaced); it is replaced by that of the next conversation with an answer in the order of conv_id,
+    after the last comes the first. Both sides share all turns before it. A conversation without an answer, or the only
+    one with one, is equal on both sides. conv_id may be of any type that can be sorted; turns without one belong to no
+    conversation and are left out.
+    """
+    plain = turns.where("conv_id IS NOT NULL").select("conv_id", "turn", "role", "text")
+    place = F.coalesce(F.col("turn").cast("bigint"), F.lit(_FIRST))
+    is_answer = F.coalesce(F.col("role") == ANSWERS, F.lit(False))
+    last = F.max(F.struct(place.alias("place"), F.col("text").alias("text")))
+    answers = written(plain.where(is_answer).groupBy("conv_id").agg(last.alias("last")), "answers")
+    numbered = number_rows(answers.select("conv_id"), ["conv_id"], "number").join(answers, "conv_id")
+    n = max(answers.count(), 1)
+    others = numbered.select(F.col("number").alias("next"), F.col("last.text").alias("other"))
+    swaps = numbered.withColumn("next", F.col("number") % n + 1).join(others, "next")
+    swaps = written(swaps.select("conv_id", F.col("last.place").alias("last_place"), "other"), "swaps")
+    swapped = F.when(is_answer & (place == F.col("last_place")), F.col("other")).otherwise(F.col("text"))
+    rejected = plain.join(swaps, "conv_id", "left").withColumn("text", swapped)
+    sides = [df.select(F.col("conv_id").alias("pair_id"), F.lit(i).alias("side"), "turn", "role", "text") for i, df in enumerate((plain, rejected))]
+    return sides[0].unionByName(sides[1])
+
+
 def _rendered(role: Column, text: Column) -> tuple[Column, Column]:
     head = F.concat(F.lit(OPEN), F.coalesce(role, F.lit("")), F.lit(CLOSE))
     return head, F.concat(head, F.coalesce(text, F.lit("")), F.lit(END))
@@ -72,9 +98,16 @@ def preference_segments(sided: DataFrame) -> DataFrame:
     )
 
 
-# The same over neighbouring conversations, as SQL.
+# The same over conversations and their swapped answers, as SQL.
 ORACLE = """
-WITH t AS (SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, turn, role, text FROM conversations),
+WITH last AS (SELECT conv_id, max(turn) AS turn, max(text) AS text
+              FROM (SELECT * FROM conversations WHERE role = 'assistant' QUALIFY turn = max(turn) OVER (PARTITION BY conv_id)) GROUP BY conv_id),
+numbered AS (SELECT *, row_number() OVER (ORDER BY conv_id) AS number, count(*) OVER () AS n FROM last),
+swaps AS (SELECT a.conv_id, a.turn AS last_turn, b.text AS other FROM numbered a JOIN numbered b ON b.number = a.number % a.n + 1),
+t AS (SELECT conv_id AS pair_id, 0 AS side, turn, role, text FROM conversations
+      UNION ALL
+      SELECT conv_id, 1, turn, role, CASE WHEN role = 'assistant' AND turn = last_turn THEN other ELSE text END
+      FROM conversations LEFT JOIN swaps USING (conv_id)),
 c AS (SELECT pair_id, turn, role, text, count(*) FILTER (side = 0) AS n0, count(*) FILTER (side = 1) AS n1
       FROM t GROUP BY ALL),
 p AS (SELECT pair_id, min(turn) FILTER (n0 <> n1) AS differs FROM c GROUP BY pair_id HAVING sum(n0) > 0 AND sum(n1) > 0),

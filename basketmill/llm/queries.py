@@ -52,7 +52,7 @@ def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_preference(spark: SparkSession, folder: str) -> DataFrame:
-    return preference.preference_segments(preference.neighbour_pairs(_table(spark, folder, "conversations")))
+    return preference.preference_segments(preference.swapped_answers(_table(spark, folder, "conversations")))
 
 
 def op8_gru(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,17 +2,43 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from basketmill.llm.preference import neighbour_pairs, preference_segments
+from basketmill.llm.preference import neighbour_pairs, preference_segments, swapped_answers
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, part string"
 
 
-def brute_force(rows):
-    """Both sides of a pair, turn number by turn number."""
+def neighbours(rows):
     sides = {}
     for conv, turn, role, text in rows:
         if conv is not None:
             sides.setdefault(conv // 2, ([], []))[conv % 2].append((turn, role, text))
+    return sides
+
+
+def swaps(rows):
+    """Each conversation beside itself with the answers of its last answered turn replaced by the next one's last answer."""
+    held, last = {}, {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            held.setdefault(conv, []).append((turn, role, text))
+            if role == "assistant":
+                key = (turn is not None, turn or 0, text is not None, text or "")
+                last[conv] = max(last.get(conv, (key, turn, text)), (key, turn, text), key=lambda x: x[0])
+    order = sorted(last)
+    following = dict(zip(order, order[1:] + order[:1], strict=True))
+    sides = {}
+    for conv, turns in held.items():
+        other = list(turns)
+        if conv in last:
+            at, new = last[conv][1], last[following[conv]][2]
+            other = [(t, r, new if r == "assistant" and t == at else x) for t, r, x in turns]
+        sides[conv] = (turns, other)
+    return sides
+
+
+def brute_force(rows, paired=neighbours):
+    """Both sides of a pair, turn number by turn number."""
+    sides = paired(rows)
     found = []
     for pair, both in sides.items():
         if not all(both):
@@ -37,8 +63,8 @@ def brute_force(rows):
     return sorted(found, key=repr)
 
 
-def got(df):
-    return sorted((tuple(r) for r in preference_segments(neighbour_pairs(df)).collect()), key=repr)
+def got(df, paired=neighbour_pairs):
+    return sorted((tuple(r) for r in preference_segments(paired(df)).collect()), key=repr)
 
 
 def test_pairs(spark):
@@ -58,3 +84,32 @@ def test_given_and_empty(spark, small):
     df = spark.read.parquet(f"{small}/conversations.parquet")
     assert got(df) == brute_force([tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()])
     assert got(df.where("false")) == []
+
+
+def test_swapped_answers(spark):
+    rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "good é"), (0, 2, "user", "and?"), (0, 3, "assistant", "last"), (0, 4, "user", "thanks")]
+    rows += [(1, 0, "user", "only asks")]  # no answer: equal sides
+    rows += [(3, 0, "user", "q"), (3, 1, "assistant", "last")]  # the same answer as its neighbours'
+    rows += [(4, 0, "system", None), (4, None, "assistant", "unnumbered")]
+    rows += [(5, 1, "assistant", "a"), (5, 1, "assistant", "b"), (5, 1, "assistant", "b")]  # several in the last turn
+    rows += [(6, 0, "user", "x"), (6, 1, "assistant", None), (7, 0, None, "r"), (7, 1, "assistant", "")]
+    rows += [(8, t, "assistant" if t % 2 else "user", "long " * 50) for t in range(400)] + [(9, 1, "assistant", "z" * 50_000)]
+    rows += [(None, 0, "assistant", "no conversation"), (10, 0, "user", "u"), (10, 0, "user", "u"), (10, 1, "assistant", "end")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).withColumn("side", F.lit("clash")).repartition(3)
+    want = brute_force(rows, swaps)
+    assert got(df, swapped_answers) == want
+    prompts = {r[0] for r in want if r[1] == "prompt"}
+    assert prompts >= {0, 1, 3, 6, 8, 10} and {r[0] for r in want} == {r[0] for r in rows} - {None}
+    lone = [r for r in rows if r[0] in (0, 1)]
+    assert got(df.where("conv_id in (0, 1)"), swapped_answers) == brute_force(lone, swaps)
+    # Ids of other kinds.
+    named = df.withColumn("conv_id", F.concat(F.lit("c"), F.lpad(F.col("conv_id").cast("string"), 3, "0")))
+    assert len(preference_segments(swapped_answers(named)).collect()) == len(want)
+
+
+def test_swapped_answers_on_given_conversations(spark, small):
+    df = spark.read.parquet(f"{small}/conversations.parquet")
+    rows = [tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()]
+    want = brute_force(rows, swaps)
+    assert got(df, swapped_answers) == want and sum(r[1] == "prompt" for r in want) > 0
+    assert got(df.where("false"), swapped_answers) == []
