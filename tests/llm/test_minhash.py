@@ -20,7 +20,7 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def brute_force(rows):
+def brute_force(rows, percent=85):
     """All pairs of documents, linked by their full sets; components by repeated merging."""
     sets = [shingles(t) for _, t in rows]
     label = list(range(len(rows)))
@@ -36,7 +36,7 @@ def brute_force(rows):
             posting.setdefault(x, []).append(i)
     pairs = {p for held in posting.values() if len(held) > 1 for p in itertools.combinations(held, 2)}
     for a, b in pairs:
-        if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+        if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
             label[root(a)] = root(b)
     least = {}
     for i, (doc, _) in enumerate(rows):
