@@ -6,14 +6,15 @@ every shard, which gives all places where a window of the test set occurs; neigh
 same diagonal are joined to longest verbatim matches. Suffixes that leave the test vocabulary
 within the window cannot match and are left out before sorting.
 
-Documents never leave their partition. The test set is read in blocks of at most ``block_chars``
-characters of distinct text; each block visits all documents.
+The test set is read in blocks of about ``block_chars`` characters of distinct text; each block visits all
+documents, which never leave their partition, and is released before the next is read.
 """
 
 from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketmill.llm.arrays import ALPHANUMERIC, blocks, span_hashes, split_words
+from basketmill.llm.staging import written
 
 WINDOW = 13
 # A document is contaminated if hit words are at least one in so many.
@@ -180,13 +182,10 @@ def _scan(tests: TestSet, window: int):
                     matches.append(longest)
             span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
             match = pa.struct([("item", pa.string()), ("item_word", pa.int64()), ("doc_word", pa.int64()), ("n_words", pa.int64())])
-            columns = {name: batch.column(name) for name in batch.schema.names}
+            columns = {name: batch.column(name) for name in batch.schema.names if name != "text"}
             columns["n_words"] = pa.array(n_words, pa.int64())
             for name, new, kind in (("_covers", covers, span), ("_items", items, pa.string()), ("_matches", matches, match)):
-                column = pa.array(new, pa.list_(kind))
-                if name in columns:
-                    column = pa.array([a + b for a, b in zip(columns[name].to_pylist(), new, strict=True)], pa.list_(kind))
-                columns[name] = column
+                columns[name] = pa.array(new, pa.list_(kind))
             yield pa.RecordBatch.from_pydict(columns)
 
     return shard
@@ -215,30 +214,67 @@ def _verdicts(batches):
         yield pa.RecordBatch.from_pydict(columns)
 
 
+def _is_contaminated(tests: TestSet, window: int, one_in: int):
+    """Whether enough words of each text lie inside occurrences."""
+
+    def judge(texts: pa.Array) -> pa.Array:
+        verdicts = [np.zeros(0, dtype=bool)]
+        for _, _, data, offsets in blocks(texts):
+            words = split_words(data, offsets, ALPHANUMERIC)
+            hashes = span_hashes(data, words.starts, words.ends)
+            places, found = occurrences(hashes, words.first, tests, window)
+            steps = np.zeros(len(hashes) + 1, dtype=np.int64)
+            np.add.at(steps, places, 1)
+            np.add.at(steps, places + tests.lengths[found], -1)
+            hit = np.bincount(words.text_of_word()[np.cumsum(steps[:-1]) > 0], minlength=len(words.counts))
+            verdicts.append((hit > 0) & (one_in * hit >= words.counts))
+        return pa.array(np.concatenate(verdicts))
+
+    return judge
+
+
 def test_blocks(benchmark: DataFrame, block_chars: int, window: int = WINDOW):
-    """The distinct test items, in blocks of about ``block_chars`` characters."""
+    """The distinct test items, in blocks of about ``block_chars`` characters; how many, and one after the other."""
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-int(total) // block_chars))
-    for i in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i).collect()
-        yield read_test_set([r["item"] for r in rows], [r["text"] for r in rows], window)
 
+    def read():
+        for i in range(n):
+            rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i).collect()
+            yield read_test_set([r["item"] for r in rows], [r["text"] for r in rows], window)
+
+    return n, read()
 
-def _judged(docs: DataFrame, benchmark: DataFrame, window: int, block_chars: int, carried: dict) -> DataFrame:
-    """The judgement per document; ``carried`` names further columns to bring along."""
-    extra = [column.alias(name) for name, column in carried.items()]
-    found = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), *extra)
-    kinds = found.schema.simpleString()[len("struct<") : -1]
-    held = f"{kinds},n_words:bigint,_covers:array<struct<start:bigint,stop:bigint>>,_items:array<string>,_matches:array<{_MATCH}>"
-    for block in test_blocks(benchmark, block_chars, window):
-        found = found.mapInArrow(_scan(block, window), held)
-    if not carried:
-        found = found.drop("text")
-    kinds = found.drop("_covers", "_items").schema.simpleString()[len("struct<") : -1]
-    return found.mapInArrow(_verdicts, f"{kinds},n_hit:bigint,n_items:bigint,items_sha256:string")
+
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int, block_chars: int) -> DataFrame:
+    """The judgement per document, with ``_key`` for its id and text.
+
+    Of several test blocks each leaves the rows with hits in the shared folder before the next is read, so that neither the
+    driver nor a plan ever holds more than one.
+    """
+    n, tests = test_blocks(benchmark, block_chars, window)
+    found = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
+    found = found.select("doc_id", F.xxhash64("doc_id", "text").alias("_key"), "text")
+    kinds = found.drop("text").schema.simpleString()[len("struct<") : -1]
+    lists = "_covers:array<struct<start:bigint,stop:bigint>>,_items:array<string>,_matches:array<" + _MATCH + ">"
+
+    def scan(block: TestSet) -> DataFrame:
+        return found.mapInArrow(_scan(block, window), f"{kinds},n_words:bigint,{lists}")
+
+    if n == 1:
+        held = scan(next(tests))
+    else:
+        hits = [written(scan(block).where(F.size("_covers") > 0).select("_key", "_covers", "_items", "_matches"), "hits") for block in tests]
+        every = reduce(DataFrame.unionAll, hits).groupBy("_key")
+        every = every.agg(*[F.flatten(F.collect_set(c)).alias(c) for c in ("_covers", "_items", "_matches")])
+        bare = scan(read_test_set([], [], window)).select("doc_id", "_key", "n_words")
+        lists_of = [F.coalesce(every[c], F.array().cast(every.schema[c].dataType)).alias(c) for c in ("_covers", "_items", "_matches")]
+        held = bare.join(every, "_key", "left").select("doc_id", "_key", "n_words", *lists_of)
+    kinds = held.drop("_covers", "_items").schema.simpleString()[len("struct<") : -1]
+    return held.mapInArrow(_verdicts, f"{kinds},n_hit:bigint,n_items:bigint,items_sha256:string")
 
 
 def _contaminated(one_in: int):
@@ -255,7 +291,7 @@ def contamination(
     item; a null item_id is written as an empty text. ``matches`` lists longest verbatim matches
     with their places in the document and the item, in words.
     """
-    return _judged(docs, benchmark, window, block_chars, {}).select(
+    return _judged(docs, benchmark, window, block_chars).select(
         "doc_id",
         "n_words",
         "n_hit",
@@ -269,11 +305,17 @@ def contamination(
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, one_in: int = ONE_IN, block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
-    """The documents that are not contaminated, with the columns they came with."""
-    carried = {f"_carried_{i}": F.col(c) for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
-    judged = _judged(docs, benchmark, window, block_chars, carried or {"_carried": F.lit(1)})
-    back = [F.col(c) if c in ("doc_id", "text") else F.col(f"_carried_{i}").alias(c) for i, c in enumerate(docs.columns)]
-    return judged.where(~_contaminated(one_in)).select(*back)
+    """The documents that are not contaminated, with the columns they came with.
+
+    Against a test set of one block only the text goes to Python and no document is moved.
+    """
+    n, tests = test_blocks(benchmark, block_chars, window)
+    text = F.col("text").cast("string")
+    if n == 1:
+        return docs.where(~F.arrow_udf(_is_contaminated(next(tests), window, one_in), "boolean")(text))
+    judged = _judged(docs, benchmark, window, block_chars)
+    bad = written(judged.where(_contaminated(one_in)).select("_key").distinct(), "contaminated")
+    return docs.join(bad, F.xxhash64("doc_id", text) == bad["_key"], "left_anti")
 
 
 # The same over documents and benchmark, as SQL: every window of every text, joined.

@@ -2,8 +2,8 @@
 
 Texts are read as lower-case letters with one gap between words; grams of one to three are hashed to a
 fixed number of features. Document frequencies cover every document learned from. The weights are fit by
-the follow-the-regularised-leader rule with elastic-net penalties on a bounded sample, at most
-``train_docs`` documents in all, dealt evenly to the languages; a fifth of the sample sets the temperature.
+the follow-the-regularised-leader rule with elastic-net penalties on a bounded sample of about
+``train_docs`` documents, dealt evenly to the languages; a fifth of the sample sets the temperature.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from basketmill.llm.arrays import blocks, id_and_text, mix
 
 FEATURES = 1 << 13
 TRAIN_DOCS = 3000
-MAX_LANGUAGES = 400
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.01, 0.01
 UNDECIDED = "und"
@@ -169,10 +168,14 @@ def _sparse(batches):
 
 
 def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
-    """Learn from the text and lang of all given documents; none without a labelled text."""
+    """Learn from the text and lang of all given documents; none without a labelled text.
+
+    The sample takes equally many documents of each language, together about a tenth more than ``train_docs`` and never more than
+    twice as many. It holds each language at least once, so no more than ``train_docs`` languages, the most frequent, are learned.
+    """
     known = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(train_docs).collect()
     if not sizes:
         return None
     total = sum(r["count"] for r in sizes)
@@ -203,21 +206,26 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
     return model
 
 
-def _predicted(model: Model | None, names: list[str]):
+def _guesses(model: Model | None, batch) -> tuple[list[str], list[float]]:
+    """Language and score of each text of a batch."""
+    langs, scores = [], []
+    for low, high, counts, has in _tables(batch):
+        if model is None:
+            langs += [UNDECIDED] * (high - low)
+            scores += [0.0] * (high - low)
+            continue
+        p = model.posteriors(counts).astype(np.float64)
+        best = p.argmax(axis=1)
+        langs += [model.languages[b] if h else UNDECIDED for b, h in zip(best, has, strict=True)]
+        scores += [min(1.0, float(p[i, b])) if has[i] else 0.0 for i, b in enumerate(best)]
+    return langs, scores
+
+
+def _predicted(model: Model | None):
     def predict(batches):
         for batch in batches:
-            langs, scores = [], []
-            for low, high, counts, has in _tables(batch):
-                if model is None:
-                    langs += [UNDECIDED] * (high - low)
-                    scores += [0.0] * (high - low)
-                    continue
-                p = model.posteriors(counts).astype(np.float64)
-                best = p.argmax(axis=1)
-                langs += [model.languages[b] if h else UNDECIDED for b, h in zip(best, has, strict=True)]
-                scores += [min(1.0, float(p[i, b])) if has[i] else 0.0 for i, b in enumerate(best)]
-            columns = {n: batch.column(n) for n in names}
-            columns |= {"_lang_pred": pa.array(langs, pa.string()), "_score": pa.array(scores, pa.float64())}
+            langs, scores = _guesses(model, batch)
+            columns = {"doc_id": batch.column("doc_id"), "_lang_pred": pa.array(langs, pa.string()), "_score": pa.array(scores, pa.float64())}
             yield pa.RecordBatch.from_pydict(columns)
 
     return predict
@@ -231,13 +239,17 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """
     source = id_and_text(docs)
     kind = source.schema["doc_id"].dataType.simpleString()
-    found = source.mapInArrow(_predicted(model, ["doc_id"]), f"doc_id {kind}, _lang_pred string, _score double")
+    found = source.mapInArrow(_predicted(model), f"doc_id {kind}, _lang_pred string, _score double")
     return found.select("doc_id", held_out().alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"))
 
 
 def with_language(docs: DataFrame, model: Model | None, least_score: float = 0.0) -> DataFrame:
     """The documents whose language is known with at least ``least_score``, with the columns they came with."""
-    plain = docs.select(*[F.col(c).cast("string").alias(c) if c == "text" else F.col(c) for c in docs.columns])
-    kinds = plain.schema.simpleString()[len("struct<") : -1]
-    found = plain.mapInArrow(_predicted(model, plain.columns), f"{kinds},_lang_pred:string,_score:double")
-    return found.where((F.col("_lang_pred") != UNDECIDED) & (F.col("_score") >= least_score)).select(*docs.columns)
+
+    def score(texts: pa.Array) -> pa.Array:
+        langs, scores = _guesses(model, pa.RecordBatch.from_arrays([texts], ["text"]))
+        return pa.array([None if lang == UNDECIDED else s for lang, s in zip(langs, scores, strict=True)], pa.float64())
+
+    # Only the text goes to Python; an unknown language has no score and drops out.
+    plain = docs.withColumn("text", F.col("text").cast("string"))
+    return plain.where(F.arrow_udf(score, "double")("text") >= least_score)

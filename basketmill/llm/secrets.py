@@ -178,15 +178,11 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     A null text stays null. Columns other than text and n_chars pass unchanged.
     """
 
-    def rewrite(batches):
-        for batch in batches:
-            texts = [None if t is None else redacted(t) for t in batch.column("text").to_pylist()]
-            columns = {name: batch.column(name) for name in batch.schema.names}
-            columns["text"] = pa.array(texts, pa.string())
-            if "n_chars" in columns:
-                old = columns["n_chars"].to_pylist()
-                columns["n_chars"] = pa.array([o if t is None else len(t) for o, t in zip(old, texts, strict=True)], pa.int64())
-            yield pa.RecordBatch.from_pydict(columns)
-
-    source = docs.select(*[F.col(c).cast("bigint").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
-    return source.mapInArrow(rewrite, source.schema)
+    def rewrite(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else redacted(t) for t in texts.to_pylist()], pa.string())
+
+    # Only the text goes to Python.
+    changed = docs.withColumn("text", F.arrow_udf(rewrite, "string")("text"))
+    if "n_chars" not in docs.columns:
+        return changed
+    return changed.withColumn("n_chars", F.coalesce(F.char_length("text").cast("bigint"), F.col("n_chars").cast("bigint")))
