@@ -74,6 +74,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def entries_of(spark: SparkSession, folder: str) -> list[tuple[str, float]]:
+    """Names in a folder with the time of their last change in seconds; none if it is not there."""
+    files, path = _file_system(spark, folder)
+    found = files.listStatus(path) if files.exists(path) else ()
+    return sorted((status.getPath().getName(), status.getModificationTime() / 1000) for status in found)
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder, whose parent is made if need be; false if there is none."""
+    files, path = _file_system(spark, source)
+    if not files.exists(path):
+        return False
+    to = _file_system(spark, target)[1]
+    files.mkdirs(to.getParent())
+    if not files.rename(path, to):
+        raise OSError(f"{source} cannot be moved to {target}")
+    return True
+
+
 def finished_batches(spark: SparkSession, sink: str) -> list[str]:
     """The ``batch_id=`` folders under ``sink`` whose write has ended, one per micro-batch."""
     files, path = _file_system(spark, f"{sink.rstrip('/')}/batch_id=*/_SUCCESS")

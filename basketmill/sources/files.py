@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from basketmill.functions.parsing import blank_to_null
-from basketmill.session import new_path
+from basketmill.session import entries_of, new_path
+from basketmill.sources.records import joined_records, parsed_records, split_lines
 
 BAD_COLUMNS, BAD_TEXT = "_bad_columns", "_text"
 OUTPUT_TIME = "yyyy-MM-dd HH:mm:ss"
@@ -38,7 +39,7 @@ def read_csv(
     Columns are matched to the header by name, so ``schema`` lists only what is needed, in any
     order. A missing column fails the read. Without a schema all columns are text, or with ``infer`` of
     types found by reading the data twice, which is meant for profiling small samples. Cells may hold
-    line breaks only with ``multi_line``; each file is then one task, so land such files once (``land_csv``).
+    line breaks only with ``multi_line``; the lines are then staged once and joined to records, split by split.
     """
     if infer:
         raw = spark.read.options(**DIALECT, inferSchema=True, multiLine=multi_line).csv(path)
@@ -57,6 +58,8 @@ def read_csv(
 def _text_columns(spark: SparkSession, path: str, schema: StructType | None, multi_line: bool) -> DataFrame:
     """The named columns, or all, as text. Typing them afterwards keeps CSV column pruning."""
     text = spark.read.options(**DIALECT, multiLine=multi_line).csv(path)
+    if multi_line:
+        text = parsed_records(joined_records(split_lines(spark, path)), text.columns, DIALECT)
     if schema is None:
         return text
     missing = [name for name in schema.names if name not in text.columns]
@@ -136,14 +139,15 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.options(**DIALECT, timestampNTZFormat=OUTPUT_TIME).csv(path)
 
 
-def register_folder(spark: SparkSession, folder: str, schemas: Mapping[str, StructType] | None = None) -> list[str]:
-    """Make every ``<name>.csv`` in ``folder`` a view called ``<name>``; returns the names.
+def register_folder(
+    spark: SparkSession, folder: str, schemas: Mapping[str, StructType] | None = None, prefix: str = ""
+) -> list[str]:
+    """Make every ``<name>.csv`` in ``folder``, a file or a folder of part files, a view called ``<name>``; returns the names.
 
-    Columns are typed by ``schemas``, and text where it has no entry; nothing is read to find types.
+    Columns are typed by ``schemas``, and text where it has no entry; nothing is read to find types. ``prefix`` goes before
+    the names of the views.
     """
-    # Listing paths alone reads no content; there is one per table.
-    paths = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path")
-    names = sorted(row.path.rsplit("/", 1)[1].removesuffix(".csv") for row in paths.collect())
+    names = [name.removesuffix(".csv") for name, _ in entries_of(spark, folder) if name.endswith(".csv")]
     for name in names:
-        read_csv(spark, f"{folder.rstrip('/')}/{name}.csv", (schemas or {}).get(name)).createOrReplaceTempView(name)
+        read_csv(spark, f"{folder.rstrip('/')}/{name}.csv", (schemas or {}).get(name)).createOrReplaceTempView(f"{prefix}{name}")
     return names
