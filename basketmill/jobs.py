@@ -13,7 +13,7 @@ import sys
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from basketmill.operators import cleaning, modelling, quality
 from basketmill.schemas import FREE_TEXT, NORMAL_FORM, RAW, REFERENCES, WIDE
@@ -34,8 +34,9 @@ def clean_files(spark: SparkSession, folder: str, output: str, pattern: str = "{
     """Raw CSV files to the wide CSV; returns the cleaning report, with the raw values that did not fit their type."""
     landed = land_raw_tables(spark, folder, f"{output.rstrip('/')}_raw", pattern)
     raw = {name: df.select(*RAW[name].names) for name, df in landed.items()}
-    write_csv(cleaning.clean_wide(raw), output)
-    return cleaning.cleaning_report(raw).unionByName(unfit_counts(landed))
+    seen = Observation()
+    write_csv(cleaning.clean_wide(raw, seen), output)
+    return cleaning.observed_report(raw, seen).unionByName(unfit_counts(landed))
 
 
 def load_normal_form(spark: SparkSession, wide_path: str, folder: str) -> tuple[DataFrame, dict[str, DataFrame]]:

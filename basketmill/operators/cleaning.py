@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from basketmill.functions.parsing import parse_time, time_text
 from basketmill.schemas import DEFAULT_SCORE, ORDER_TIMES, UNKNOWN_CATEGORY, WIDE_COLUMNS
 from basketmill.session import stage
 
 Tables = Mapping[str, DataFrame]
+_UNSCORED = "_unscored"
 
 
 def delivered_orders(orders: DataFrame) -> DataFrame:
@@ -32,16 +33,23 @@ def owned_orders(tables: Tables) -> DataFrame:
     return delivered_orders(tables["orders"]).join(tables["customers"], "customer_id")
 
 
-def clean_wide(tables: Tables) -> DataFrame:
+def clean_wide(tables: Tables, seen: Observation | None = None) -> DataFrame:
     """One row per delivered order, item and review.
 
     Items meet products before orders and reviews multiply them, so the wider rows are never exchanged
     again. Reviewed orders are written in between: as a scan they come to the last join by an exchange of
     their own, as the items do, so that Spark can split an order, or a product, with very many rows.
+    ``seen`` gets the counts for ``observed_report`` while the rows are written.
     """
     described = tables["order_items"].join(filled_products(tables["products"]), "product_id")
-    reviewed = owned_orders(tables).join(filled_reviews(tables["order_reviews"]), "order_id").drop("customer_id")
-    return described.join(stage(reviewed, "reviewed_orders"), "order_id").select(*WIDE_COLUMNS)
+    reviews = tables["order_reviews"]
+    if seen is not None:
+        reviews = reviews.withColumn(_UNSCORED, F.col("review_score").isNull())
+    reviewed = owned_orders(tables).join(filled_reviews(reviews), "order_id").drop("customer_id")
+    wide = described.join(stage(reviewed, "reviewed_orders"), "order_id")
+    if seen is not None:
+        wide = wide.observe(seen, F.count_if(_UNSCORED).alias("scores_filled"), F.count(F.lit(1)).alias("wide_rows"))
+    return wide.select(*WIDE_COLUMNS)
 
 
 def order_tally(tables: Tables) -> DataFrame:
@@ -95,14 +103,36 @@ def wide_counts(tally: DataFrame) -> DataFrame:
     )
 
 
+def observed_report(tables: Tables, seen: Observation) -> DataFrame:
+    """The rows of ``cleaning_report`` after the wide rows were written: their counts were taken on the way.
+
+    Only orders, products and reviews are read, in the few columns counted; the items are not read again.
+    """
+    reviewed = tables["order_reviews"].select("order_id", F.lit(True).alias("reviewed")).distinct()
+    delivered = parse_time(F.col("order_delivered_customer_date")).isNotNull()
+    orders = tables["orders"].select("order_id", delivered.alias("delivered")).join(reviewed, "order_id", "left")
+    counts = orders.agg(
+        F.count(F.lit(1)).alias("orders_in"),
+        F.count_if(~F.col("delivered")).alias("orders_undelivered"),
+        F.count_if("delivered").alias("orders_kept"),
+        F.count_if(F.col("delivered") & F.col("reviewed").isNull()).alias("orders_without_review"),
+    )
+    found = seen.get
+    return _report(counts.withColumns({name: F.lit(found[name]) for name in ("scores_filled", "wide_rows")}), tables)
+
+
 def cleaning_report(tables: Tables) -> DataFrame:
     """What cleaning read, dropped, filled and kept, as (metric, value) rows."""
+    return _report(wide_counts(order_tally(tables)), tables)
+
+
+def _report(counts: DataFrame, tables: Tables) -> DataFrame:
     unfilled = tables["products"].agg(
         F.count_if(F.col("product_category_name").isNull()).alias("categories_filled")
     )
     unscored = tables["order_reviews"].agg(F.count_if(F.col("review_score").isNull()).alias("reviews_unscored"))
     return (
-        metric_rows(wide_counts(order_tally(tables)))
+        metric_rows(counts)
         .unionByName(metric_rows(unfilled))
         .unionByName(metric_rows(unscored))
     )

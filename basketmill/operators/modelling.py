@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -44,23 +44,34 @@ def kept_orders(tables: Tables, listed: DataFrame | None = None) -> DataFrame:
     return project(present_in(orders, tables["order_reviews"], ["order_id"]), NORMAL_FORM["orders"])
 
 
-def normal_form(tables: Tables) -> dict[str, DataFrame]:
-    """The same five tables straight from the raw ones, each written once and read back.
+def normal_form(tables: Tables, names: Collection[str] = tuple(NORMAL_FORM)) -> dict[str, DataFrame]:
+    """The named ones of the same five tables, straight from the raw ones.
 
     A row of a raw table reaches the wide table exactly when it finds partners in all the others, so
     its projection is a chain of semi joins. No row is multiplied, and only keys are exchanged
-    besides the table itself. The listed items are read from the raw table once: the orders, the kept items
-    and the products follow from the stored copy. As scans the tables can also meet crowded partners in a
-    join that Spark is able to split.
+    besides the table itself. What several tables follow from is written once and read back: the listed items, read from the
+    raw table once, and the orders and kept items where more than one other needs them. The rest is left to its reader.
+    As scans the stored tables can also meet crowded partners in a join that Spark is able to split.
     """
-    listed = stage(project(listed_items(tables), NORMAL_FORM["order_items"]), "listed_items")
-    orders = stage(kept_orders(tables, listed), "orders")
-    items = stage(owned_by(listed, orders, ["order_id"]), "order_items")
-    rows = {
-        "customers": orders,
-        "products": present_in(known_products(tables), items, ["product_id"]),
-        "order_reviews": owned_by(filled_reviews(tables["order_reviews"]), orders, ["order_id"]),
+    wanted = set(names)
+    of_items, of_orders = wanted & {"order_items", "products"}, wanted - {"order_items", "products"}
+    listed = None
+    if of_items:
+        listed = listed_items(tables)
+        listed = project(listed, NORMAL_FORM["order_items"]) if "order_items" in wanted else listed.select("order_id", "product_id").distinct()
+        listed = stage(listed, "listed_items")
+    orders = kept_orders(tables, listed)
+    if len(of_orders) + bool(of_items) > 1:
+        orders = stage(orders, "orders")
+    made = {
+        "customers": lambda: project(orders, NORMAL_FORM["customers"]),
+        "orders": lambda: orders,
+        "order_reviews": lambda: project(owned_by(filled_reviews(tables["order_reviews"]), orders, ["order_id"]), NORMAL_FORM["order_reviews"]),
     }
-    stored = {name: stage(project(df, NORMAL_FORM[name]), name) for name, df in rows.items()}
-    stored |= {"orders": orders, "order_items": items}
-    return {name: stored[name] for name in NORMAL_FORM}
+    if of_items:
+        items = owned_by(listed, orders, ["order_id"])
+        if len(of_items) > 1:
+            items = stage(items, "order_items")
+        made["order_items"] = lambda: items
+        made["products"] = lambda: project(present_in(known_products(tables), items, ["product_id"]), NORMAL_FORM["products"])
+    return {name: made[name]() for name in NORMAL_FORM if name in wanted}

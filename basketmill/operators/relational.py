@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def product(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -21,6 +21,25 @@ def theta_join(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
     return left.join(right, on, "inner")
 
 
+def range_join(left: DataFrame, right: DataFrame, point: Column, low: Column, high: Column, width: float) -> DataFrame:
+    """Pairs with ``low <= point <= high``, where ``point`` is of ``left`` and the bounds are of ``right``, all numbers.
+
+    Both tables may grow: the line is cut into bins of ``width``, a right row is entered into every bin its range touches and a left
+    row into the one it lies in, so that a pair meets once, by equality, and is then tested exactly. A width near that of the
+    ranges makes a few entries per right row. Nulls and ranges whose bounds are the wrong way round meet nothing.
+    """
+
+    def bin_of(value: Column) -> Column:
+        return F.floor(value.cast("double") / width)
+
+    bounded = (F.col("_low") <= F.col("_high")) & (F.abs("_low") < F.lit(float("inf"))) & (F.abs("_high") < F.lit(float("inf")))
+    entered = right.withColumns({"_low": low, "_high": high}).where(bounded)
+    entered = entered.withColumn("_bin", F.explode(F.sequence(bin_of(F.col("_low")), bin_of(F.col("_high")))))
+    placed = left.withColumn("_point", point).withColumn("_bin", bin_of(F.col("_point")))
+    inside = (F.col("_point") >= F.col("_low")) & (F.col("_point") <= F.col("_high"))
+    return placed.join(entered, "_bin").where(inside).drop("_bin", "_point", "_low", "_high")
+
+
 def present_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """EXISTS: rows whose key occurs in ``other``, where it may occur very often.
 
