@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, TimestampNTZType
 
+from basketmill.functions import parsing
 from basketmill.operators import cleaning
 from basketmill.plans.stock import RUN_TIME, products
 from basketmill.operators.stock import seed
@@ -57,4 +59,58 @@ def table_reload(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(stock.schema).parquet(copy).select(*INVENTORY.names)
 
 
-QUERIES = {f.__name__: f for f in (csv_round_trip, csv_clean_wide, csv_load, table_reload)}
+def _spelled_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as text as people write it: times, days and days the other way round, numbers with blanks, ranks with words."""
+    day, status = F.col("o_orderdate"), F.col("o_orderstatus")
+    moment = F.when(status == "O", F.date_format(day, "yyyy-MM-dd HH:mm:ss")).when(status == "F", F.date_format(day, "dd/MM/yyyy"))
+    amount = F.col("o_totalprice").cast("string")
+    return roles.table(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        moment.otherwise(F.date_format(day, "yyyy-MM-dd")).alias("moment"),
+        F.when(status == "O", F.concat(F.lit(" "), amount, F.lit(" "))).when(status == "F", F.concat(amount, F.lit(" EUR"))).alias("amount"),
+        F.when(status == "O", F.substring("o_orderpriority", 1, 1)).otherwise(F.col("o_orderpriority")).alias("rank"),
+    )
+
+
+def text_parsing(spark: SparkSession, folder: str) -> DataFrame:
+    """Text from a CSV parsed as what it may be; what does not parse is null."""
+    path = new_path(spark, "spelled")
+    files.write_csv(_spelled_orders(spark, folder), path)
+    text = files.read_csv(spark, path)
+    return text.select(
+        parsing.parse_integer(F.col("order_id")).alias("order_id"),
+        parsing.parse_time(F.col("moment")).alias("moment"),
+        parsing.parse_date(F.col("moment")).alias("day"),
+        parsing.parse_number(F.col("amount")).alias("amount"),
+        parsing.parse_integer(F.col("rank")).alias("rank"),
+    )
+
+
+def csv_unfit(spark: SparkSession, folder: str) -> DataFrame:
+    """The same text bulk loaded into declared types: the values of each column that do not fit."""
+    path = new_path(spark, "unfit")
+    files.write_csv(_spelled_orders(spark, folder), f"{path}/csv")
+    schema = struct(order_id=LongType(), moment=TimestampNTZType(), amount=DoubleType(), rank=IntegerType())
+    return files.unfit_counts({"orders": files.land_csv(spark, f"{path}/csv", schema, f"{path}/table")})
+
+
+def folder_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder of CSV tables made views by their names, and a query over two of them."""
+    path, prefix = new_path(spark, "folder"), f"csv_{uuid.uuid4().hex}_"
+    given = {name: roles.table(spark, folder, name) for name in ("customer", "orders")}
+    for name, df in given.items():
+        files.write_csv(df, f"{path}/{name}.csv")
+    names = files.register_folder(spark, path, {name: df.schema for name, df in given.items()}, prefix)
+    try:
+        customer, orders = (f"{prefix}{name}" for name in names)
+        return tables.query(
+            spark,
+            f"""SELECT c.c_mktsegment, c.c_nationkey, COUNT(*) AS orders, MAX(o.o_orderdate) AS last_order
+                FROM {customer} AS c JOIN {orders} AS o ON o.o_custkey = c.c_custkey GROUP BY c.c_mktsegment, c.c_nationkey""",
+        )
+    finally:
+        for name in names:
+            spark.catalog.dropTempView(f"{prefix}{name}")
+
+
+QUERIES = {f.__name__: f for f in (csv_round_trip, csv_clean_wide, csv_load, csv_unfit, text_parsing, folder_tables, table_reload)}

@@ -1,4 +1,4 @@
-"""The given tables played as streams to their end, in several arrivals, and what the sinks then hold."""
+"""The given tables played as streams to their end, and what the sinks then hold."""
 
 from __future__ import annotations
 
@@ -8,33 +8,40 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketmill.plans.stock import ALLOCATED_STOCK, full_stock
-from basketmill.schemas import FREIGHT_RULE
-from basketmill.session import new_path
+from basketmill.schemas import FREIGHT_RULE, ITEM_RULES, NORMAL_FORM, Reference
+from basketmill.session import move, new_path
+from basketmill.sources import roles
 from basketmill.sources.roles import item_roles, request_roles, table
-from basketmill.streaming import gate, reservation
+from basketmill.streaming import admission, counted, gate
 
 ARRIVALS = 3
+# Files of a table that one micro-batch takes.
+FILES_AT_ONCE = 64
+ARRIVAL_KEY = NORMAL_FORM["order_items"].key
+ARRIVAL_RULES = {**FREIGHT_RULE, **ITEM_RULES}
+ARRIVAL_REFERENCES = (Reference("order_items", "order_id", "orders"), Reference("order_items", "product_id", "products"))
 
 
 def play(rows: DataFrame, arrival: Column, path: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
     """Let the rows arrive in parts, numbered by ``arrival``, and run the stream on what is new after each.
 
-    Every run continues from the progress of the one before, as after a restart.
+    The rows are written once; a part arrives when its folder is moved under the watched one. Every run continues from
+    the progress of the one before, as after a restart.
     """
     spark = rows.sparkSession
+    rows.withColumn("_arrival", arrival).write.partitionBy("_arrival").parquet(f"{path}/waiting")
     for number in range(ARRIVALS):
-        rows.where(arrival == number).write.mode("append").parquet(path)
-        start(spark.readStream.schema(rows.schema).parquet(path)).awaitTermination()
+        if move(spark, f"{path}/waiting/_arrival={number}", f"{path}/arrived/{number}"):
+            start(spark.readStream.schema(rows.schema).parquet(f"{path}/arrived/*")).awaitTermination()
 
 
 def _gated(spark: SparkSession, folder: str, verdict: str) -> DataFrame:
+    """The stream reads the given files themselves, whether the table is one file or a folder of them."""
     lines = table(spark, folder, "lineitem")
     sink = new_path(spark, "gate")
-
-    def start(arrived: DataFrame) -> StreamingQuery:
-        return gate.start_gate(item_roles(arrived), FREIGHT_RULE, f"{sink}/rows", f"{sink}/progress")
-
-    play(lines, F.pmod(F.hash("l_orderkey", "l_linenumber"), F.lit(ARRIVALS)), f"{sink}/arrived", start)
+    # A pattern of one name: a stream takes a plain path for a folder.
+    arriving = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", FILES_AT_ONCE).parquet(f"{folder.rstrip('/')}/lineitem.parque[t]")
+    gate.start_gate(item_roles(arriving), FREIGHT_RULE, f"{sink}/rows", f"{sink}/progress").awaitTermination()
     return gate.read_sink(spark, f"{sink}/rows", item_roles(lines).schema, verdict)
 
 
@@ -53,15 +60,53 @@ def reservation_stream(spark: SparkSession, folder: str) -> DataFrame:
     sink = new_path(spark, "reservation")
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
     if first is None:
-        return reservation.settled(spark, f"{sink}/rows")
+        return counted.settled(spark, f"{sink}/rows")
     edges = [first + (last - first) * (i + 1) / ARRIVALS for i in range(ARRIVALS - 1)]
     arrival = sum((F.when(F.col("ts") >= F.lit(e).cast("timestamp_ntz"), 1).otherwise(0) for e in edges), F.lit(0))
 
     def start(arrived: DataFrame) -> StreamingQuery:
-        return reservation.start_reservation(request_roles(arrived), stock, f"{sink}/rows", f"{sink}/progress")
+        return counted.start_reservation(request_roles(arrived), stock, f"{sink}/rows", f"{sink}/progress")
+
+    play(events, arrival, f"{sink}/events", start)
+    return counted.settled(spark, f"{sink}/rows")
+
+
+def parents(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """What arriving items may refer to: reviewed orders and products with a category."""
+    return {
+        "orders": roles.reviews(spark, folder).select("order_id"),
+        "products": roles.products(spark, folder).where("product_category_name IS NOT NULL").select("product_id"),
+    }
+
+
+def _arrivals(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    """Line items arrive by product number, so that items of one key come in different batches."""
+    lines = table(spark, folder, "lineitem")
+    sink = new_path(spark, "arrivals")
+    known = parents(spark, folder)
+    columns = item_roles(lines).columns
+
+    def start(arrived: DataFrame) -> StreamingQuery:
+        return admission.start_admission(
+            item_roles(arrived), ARRIVAL_RULES, ARRIVAL_KEY, columns, ARRIVAL_REFERENCES, known, f"{sink}/judged", f"{sink}/progress"
+        )
+
+    play(lines, F.pmod("l_partkey", F.lit(ARRIVALS)), f"{sink}/lines", start)
+    return f"{sink}/judged", item_roles(lines)
+
+
+def arrivals_admitted(spark: SparkSession, folder: str) -> DataFrame:
+    """Items that rules, keys and references admit, judged as they arrive."""
+    sink, like = _arrivals(spark, folder)
+    return admission.admitted(spark, sink, like.schema)
+
 
-    play(events, arrival, f"{sink}/arrived", start)
-    return reservation.settled(spark, f"{sink}/rows")
+def arrivals_refused(spark: SparkSession, folder: str) -> DataFrame:
+    """Items refused on arrival, with the reason."""
+    sink, like = _arrivals(spark, folder)
+    return admission.refused(spark, sink, like.schema)
 
 
-QUERIES = {f.__name__: f for f in (gate_stream_valid, gate_stream_rejected, reservation_stream)}
+QUERIES = {
+    f.__name__: f for f in (gate_stream_valid, gate_stream_rejected, reservation_stream, arrivals_admitted, arrivals_refused)
+}

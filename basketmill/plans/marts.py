@@ -15,7 +15,7 @@ FREIGHT_YEAR = 1997
 
 
 def headline_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.headline_metrics(model(spark, folder))
+    return marts.headline_metrics(model(spark, folder, "customers", "orders", "order_reviews"))
 
 
 def delivery_satisfaction(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,7 +63,7 @@ def public_listing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def next_item_id(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.next_item_id(model(spark, folder))
+    return marts.next_item_id(model(spark, folder, "order_items", "products"))
 
 
 QUERIES = {

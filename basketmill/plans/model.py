@@ -22,6 +22,8 @@ from basketmill.schemas import (
 from basketmill.session import stage
 from basketmill.sources.roles import inventory, retail
 
+DEPENDENT = tuple(dict.fromkeys(d.table for d in DEPENDENCIES))
+PROFILED = {"order_items": ("price", "freight_value"), "order_reviews": ("review_score",)}
 # Tables that must have rows before later jobs start.
 REQUIRED = ("products", "orders", "order_items", "order_reviews")
 
@@ -34,9 +36,9 @@ def cleaning_report(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.cleaning_report(retail(spark, folder))
 
 
-def model(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The normal form as stored tables."""
-    return modelling.normal_form(retail(spark, folder))
+def model(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
+    """The normal form, or the named tables of it."""
+    return modelling.normal_form(retail(spark, folder), names or tuple(NORMAL_FORM))
 
 
 def kept_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,7 +51,7 @@ def normalize_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def _projection(name: str):
     def plan(spark: SparkSession, folder: str) -> DataFrame:
-        return model(spark, folder)[name]
+        return model(spark, folder, name)[name]
 
     return plan
 
@@ -94,7 +96,7 @@ def fk_orphans(spark: SparkSession, folder: str) -> DataFrame:
 
 def fd_check(spark: SparkSession, folder: str) -> DataFrame:
     """Dependencies of the wide table, read off its projections: the distinct pairs are the same."""
-    return quality.dependency_check(model(spark, folder), DEPENDENCIES)
+    return quality.dependency_check(model(spark, folder, *DEPENDENT), DEPENDENCIES)
 
 
 def row_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,13 +119,11 @@ def surrogate_key(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def range_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.range_profile(
-        model(spark, folder), {"order_items": ("price", "freight_value"), "order_reviews": ("review_score",)}
-    )
+    return quality.range_profile(model(spark, folder, *PROFILED), PROFILED)
 
 
 def redundancy_report(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.redundancy(cleaning.wide_counts(cleaning.order_tally(retail(spark, folder))), model(spark, folder), DEPENDENCIES)
+    return quality.redundancy(cleaning.wide_counts(cleaning.order_tally(retail(spark, folder))), model(spark, folder, *DEPENDENT), DEPENDENCIES)
 
 
 def rule_gate_valid(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,12 @@ from basketmill.sources.roles import items, products, table
 from basketmill.sources.tables import query
 
 
+# The customer that is looked up.
+POINT = 10
+# How far above an order's total an item's price may be, and how many days may lie between them.
+ABOVE, DAYS = 5.0, 30
+
+
 def filter_project(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "lineitem")
@@ -44,7 +50,7 @@ def point_lookup(spark: SparkSession, folder: str) -> DataFrame:
         spark,
         "SELECT * FROM {orders} WHERE o_custkey = :customer",
         {"orders": table(spark, folder, "orders")},
-        {"customer": 10},
+        {"customer": POINT},
     )
 
 
@@ -94,6 +100,18 @@ def theta_join(spark: SparkSession, folder: str) -> DataFrame:
     return relational.theta_join(customers, regions, customers["c_nationkey"] > regions["r_regionkey"])
 
 
+def price_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """Items that cost as much as a whole order, or little more, and were shipped within days of it; both tables grow."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate")
+    total = F.col("o_totalprice")
+    near = relational.range_join(lines, orders, F.col("l_extendedprice"), total, total + ABOVE, ABOVE)
+    within = F.expr(f"INTERVAL {DAYS} DAYS")
+    return near.where(F.col("l_shipdate").between(F.col("o_orderdate") - within, F.col("o_orderdate") + within)).select(
+        "o_orderkey", "o_totalprice", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"
+    )
+
+
 def semi_join(spark: SparkSession, folder: str) -> DataFrame:
     return relational.present_in(products(spark, folder), items(spark, folder), ["product_id"])
 
@@ -118,6 +136,7 @@ QUERIES = {
         lookup_join,
         three_way_join,
         theta_join,
+        price_matches,
         semi_join,
         anti_join,
     )

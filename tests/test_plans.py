@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from basketmill.operators import cleaning, marts
+from basketmill.operators import cleaning, marts, modelling
 from basketmill.sources.roles import retail
 from conftest import rows
 
@@ -66,6 +66,32 @@ def test_items_are_read_a_bounded_number_of_times(spark, small, name, most):
     assert 1 <= item_reads(QUERIES[name], spark, small) <= most
 
 
+STAGED = {
+    "headline_metrics": {"orders"},
+    "next_item_id": {"listed_items", "orders", "order_items"},
+    "normalize_products": {"listed_items", "orders"},
+    "normalize_items": {"listed_items"},
+    "normalize_reviews": set(),
+    "range_profile": {"listed_items", "orders"},
+    "fk_orphans": {"listed_items", "orders", "order_items"},
+    "row_counts": {"listed_items", "orders", "order_items"},
+    "fd_check": {"listed_items", "orders", "order_items"},
+}
+
+
+@pytest.mark.parametrize("name", STAGED)
+def test_only_tables_that_others_follow_from_are_written(spark, small, monkeypatch, name):
+    names, real = [], modelling.stage
+
+    def watched(df, as_name):
+        names.append(as_name)
+        return real(df, as_name)
+
+    monkeypatch.setattr(modelling, "stage", watched)
+    QUERIES[name](spark, small).collect()
+    assert set(names) <= STAGED[name] and len(names) == len(set(names))
+
+
 def test_grain_does_not_expand(spark, small):
     plan = plan_of(QUERIES["grain_reconcile"](spark, small))
     assert "Expand" not in plan
