@@ -80,24 +80,27 @@ def _step(gates: np.ndarray, state: np.ndarray, carry: np.ndarray, h: int) -> tu
     return fresh + keep * (state - fresh), keep, reset, inner, fresh
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=-1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=-1, keepdims=True))
-    return x
+def _log_prob(x: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """Log probability of the picked columns by the scores ``x``, which are overwritten."""
+    x -= x.max(axis=1, keepdims=True)
+    chosen = x[np.arange(len(x)), picked]
+    return chosen - np.log(np.exp(x, out=x).sum(axis=1))
 
 
 def output_log_probs(p: dict, shape: Shape, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log probability of each id, the class alone for the last class; the inner softmax is done class by class."""
-    group = np.minimum(ids // shape.members, shape.classes)
-    scores = _log_softmax(states @ p["class_out"] + p["class_bias"])
-    found = scores[np.arange(len(ids)), group]
+    group = np.minimum(ids // shape.members, shape.classes).astype(np.int16)
     order = np.argsort(group, kind="stable")
-    borders = np.searchsorted(group[order], np.arange(shape.classes + 1))
+    states, group, places = states[order], group[order], ids[order]
+    borders = np.searchsorted(group, np.arange(shape.classes + 1))
+    sorted_found = _log_prob(states @ p["class_out"] + p["class_bias"], group)
     for c in range(shape.classes):
-        rows = order[borders[c] : borders[c + 1]]
-        if len(rows):
-            inner = _log_softmax(states[rows] @ p["word_out"][c] + p["word_bias"][c])
-            found[rows] += inner[np.arange(len(rows)), ids[rows] - c * shape.members]
+        low, high = borders[c], borders[c + 1]
+        if low < high:
+            scores = states[low:high] @ p["word_out"][c] + p["word_bias"][c]
+            sorted_found[low:high] += _log_prob(scores, places[low:high] - c * shape.members)
+    found = np.empty_like(sorted_found)
+    found[order] = sorted_found
     return found
 
 
@@ -168,12 +171,11 @@ def loss_and_slope(flat: np.ndarray, shape: Shape, ids: np.ndarray, before: np.n
     gates = p["input"][np.maximum(before, 0)]
     gates *= went_on
     gates += p["first"]
-    kept, olds, states = [], np.empty((steps, lanes, h), dtype=flat.dtype), np.empty((steps, lanes, h), dtype=flat.dtype)
+    keep, reset, inner, fresh, olds, states = np.empty((6, steps, lanes, h), dtype=flat.dtype)
     for t in range(steps):
         np.multiply(state, went_on[t], out=olds[t])
-        new, keep, reset, inner, fresh = _step(gates[t], olds[t], p["carry"], h)
-        kept.append((keep, reset, inner, fresh))
-        states[t] = state = new
+        state, keep[t], reset[t], inner[t], fresh[t] = _step(gates[t], olds[t], p["carry"], h)
+        states[t] = state
     # Rows in the order of their classes, so that each class is one slice.
     flat_ids = ids.reshape(n)
     group = np.minimum(flat_ids // shape.members, shape.classes).astype(np.int16)
@@ -196,17 +198,23 @@ def loss_and_slope(flat: np.ndarray, shape: Shape, ids: np.ndarray, before: np.n
             down_rows[low:high] += error @ p["word_out"][c].T
     back = np.empty_like(states)
     back.reshape(n, h)[order] = down_rows
+    # What the slope of a state is multiplied by on its way to the three gates, for all steps at once.
+    through = np.empty((steps, lanes, 3, h), dtype=flat.dtype)
+    new = (1 - keep) * (1 - fresh * fresh)
+    np.multiply((olds - fresh) * keep, 1 - keep, out=through[:, :, 0])
+    np.multiply(new, reset, out=through[:, :, 2])
+    np.multiply(through[:, :, 2] * inner, 1 - reset, out=through[:, :, 1])
     carried = np.zeros((lanes, h), dtype=flat.dtype)
-    d_gates, d_own = np.empty_like(gates), np.empty_like(gates)
+    d_own = np.empty((steps, lanes, 3, h), dtype=flat.dtype)
+    back_to_state = np.ascontiguousarray(p["carry"].T)
     for t in range(steps - 1, -1, -1):
-        keep, reset, inner, fresh = kept[t]
-        down = back[t] + carried
-        d_fresh = down * (1 - keep) * (1 - fresh * fresh)
-        d_gates[t, :, :h] = d_own[t, :, :h] = down * (olds[t] - fresh) * keep * (1 - keep)
-        d_gates[t, :, h : 2 * h] = d_own[t, :, h : 2 * h] = d_fresh * inner * reset * (1 - reset)
-        d_gates[t, :, 2 * h :] = d_fresh
-        d_own[t, :, 2 * h :] = d_fresh * reset
-        carried = (d_own[t] @ p["carry"].T + down * keep) * went_on[t]
+        back[t] += carried
+        np.multiply(back[t][:, None], through[t], out=d_own[t])
+        carried = d_own[t].reshape(lanes, 3 * h) @ back_to_state
+        carried += back[t] * keep[t]
+        carried *= went_on[t]
+    d_gates = d_own.copy()
+    np.multiply(back, new, out=d_gates[:, :, 2])
     g["carry"][:] = olds.reshape(n, h).T @ d_own.reshape(n, 3 * h)
     d_gates = d_gates.reshape(n, 3 * h)
     g["first"][:] = d_gates.sum(axis=0)
