@@ -130,7 +130,8 @@ def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confi
     members = written(_members(rows, math.ceil(support * n)), "url_items")
     label = F.concat(F.lit("="), F.col("verdict"))
     items = F.coalesce("items", F.array().cast("array<string>"))
-    baskets = rows.join(_items_of(rows, members), "tokens", "left").select(F.array_append(items, label).alias("items"))
+    # Both sides come from scans, so that Spark can split a token set of very many pages.
+    baskets = rows.join(written(_items_of(rows, members), "url_token_items"), "tokens", "left").select(F.array_append(items, label).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(written(baskets, "url_baskets"))
     found = model.associationRules.where(F.element_at("consequent", 1).startswith("="))
     found = found.where(~F.exists("antecedent", lambda t: t.startswith("=")))
