@@ -25,6 +25,8 @@ HEADLINE = (
     "lookup_join",
     "three_way_join",
     "theta_join",
+    "price_matches",
+    "bucket_join",
     "clean_wide",
     "cleaning_report",
     "normalize_orders",
@@ -50,6 +52,7 @@ HEADLINE = (
     "csv_round_trip",
     "gate_stream_valid",
     "reservation_stream",
+    "merged_items",
 )
 
 
