@@ -21,23 +21,34 @@ def theta_join(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
     return left.join(right, on, "inner")
 
 
-def range_join(left: DataFrame, right: DataFrame, point: Column, low: Column, high: Column, width: float) -> DataFrame:
+def range_join(
+    left: DataFrame, right: DataFrame, point: Column, low: Column, high: Column, width: float, *near: tuple[Column, Column, Column, float]
+) -> DataFrame:
     """Pairs with ``low <= point <= high``, where ``point`` is of ``left`` and the bounds are of ``right``, all numbers.
 
     Both tables may grow: the line is cut into bins of ``width``, a right row is entered into every bin its range touches and a left
     row into the one it lies in, so that a pair meets once, by equality, and is then tested exactly. A width near that of the
     ranges makes a few entries per right row. Nulls and ranges whose bounds are the wrong way round meet nothing.
+
+    Where a pair must also be near in other numbers, each of ``near`` names another point, low, high and width. They are not
+    tested, but pairs meet only if their bins there are the same too: a bin then holds few pairs that a later test drops.
     """
 
-    def bin_of(value: Column) -> Column:
+    def bin_of(value: Column, width: float = width) -> Column:
         return F.floor(value.cast("double") / width)
 
     bounded = (F.col("_low") <= F.col("_high")) & (F.abs("_low") < F.lit(float("inf"))) & (F.abs("_high") < F.lit(float("inf")))
     entered = right.withColumns({"_low": low, "_high": high}).where(bounded)
     entered = entered.withColumn("_bin", F.explode(F.sequence(bin_of(F.col("_low")), bin_of(F.col("_high")))))
     placed = left.withColumn("_point", point).withColumn("_bin", bin_of(F.col("_point")))
+    bins = ["_bin"]
+    for at, least, most, wide in near:
+        bins.append(f"_bin{len(bins)}")
+        entered = entered.where(least <= most).withColumn(bins[-1], F.explode(F.sequence(bin_of(least, wide), bin_of(most, wide))))
+        placed = placed.withColumn(bins[-1], bin_of(at, wide))
     inside = (F.col("_point") >= F.col("_low")) & (F.col("_point") <= F.col("_high"))
-    return placed.join(entered, "_bin").where(inside).drop("_bin", "_point", "_low", "_high")
+    # Spark's sizes do not know of the entries, so it might send them whole.
+    return placed.join(entered.hint("merge"), bins).where(inside).drop(*bins, "_point", "_low", "_high")
 
 
 def present_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:

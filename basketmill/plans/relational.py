@@ -105,7 +105,10 @@ def price_matches(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate")
     total = F.col("o_totalprice")
-    near = relational.range_join(lines, orders, F.col("l_extendedprice"), total, total + ABOVE, ABOVE)
+    shipped, ordered = (F.unix_date(F.col(c).cast("date")) for c in ("l_shipdate", "o_orderdate"))
+    # A day more on either side than is tested below, as the hours of a day may shift in the session's time zone.
+    days = (shipped, ordered - (DAYS + 1), ordered + (DAYS + 1), DAYS + 2)
+    near = relational.range_join(lines, orders, F.col("l_extendedprice"), total, total + ABOVE, ABOVE, days)
     within = F.expr(f"INTERVAL {DAYS} DAYS")
     return near.where(F.col("l_shipdate").between(F.col("o_orderdate") - within, F.col("o_orderdate") + within)).select(
         "o_orderkey", "o_totalprice", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"

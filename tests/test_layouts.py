@@ -1,6 +1,7 @@
 """Layouts for lookups, the binned join and the counted stream."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -73,6 +74,45 @@ def test_range_join(spark):
         assert "NestedLoop" not in plan_of(met) and "Cartesian" not in plan_of(met)
 
 
+def test_range_join_near_in_a_second_number(spark):
+    rng = random.Random(5)
+    left = [(i, rng.choice([rng.uniform(-9, 9), 2.0, None]), rng.choice([rng.randint(-40, 40), None])) for i in range(200)]
+    right = [(i, rng.choice([rng.uniform(-9, 9), 2.0, None]), rng.choice([rng.randint(-40, 40), None])) for i in range(150)]
+    met_by_hand = [
+        (a, b)
+        for a, at, day in left
+        for b, low, other in right
+        if None not in (at, day, low, other) and low <= at <= low + 2 and abs(day - other) <= 3
+    ]
+    points = spark.createDataFrame(left, "a int, at double, day int")
+    ranges = spark.createDataFrame(right, "b int, low double, other int")
+    low, other = F.col("low"), F.col("other")
+    for width in (1, 4, 200):
+        days = (F.col("day"), other - 3, other + 3, width)
+        met = relational.range_join(points, ranges, F.col("at"), low, low + 2, 2.0, days)
+        assert met.columns == ["a", "at", "day", "b", "low", "other"]
+        assert rows(met.where(F.abs(F.col("day") - other) <= 3), "a", "b") == sorted(met_by_hand, key=repr)
+    backwards = (F.col("day"), other + 1, other - 1, 4)
+    assert relational.range_join(points, ranges, F.col("at"), low, low + 2, 2.0, backwards).count() == 0
+
+
+def test_price_matches_meets_few_pairs_that_it_drops(spark, tmp_path):
+    """Orders and items of one price over ten years: pairs meet by their days too, not by price alone."""
+    day = F.timestamp_seconds(F.col("id") * 86400)
+    orders = spark.range(3650).select(F.col("id").alias("o_orderkey"), F.lit(50.0).alias("o_totalprice"), day.alias("o_orderdate"))
+    lines = spark.range(3650).select(
+        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit(2).alias("l_partkey"), F.lit(52.0).alias("l_extendedprice"), day.alias("l_shipdate")
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = QUERIES["price_matches"](spark, str(tmp_path))
+    pairs = sum(min(i + 30, 3649) - max(i - 30, 0) + 1 for i in range(3650))
+    assert found.count() == found.select("o_orderkey", "l_orderkey").distinct().count() == pairs
+    assert found.where("abs(o_orderkey - l_orderkey) > 30").count() == 0
+    keys = re.search(r"Join \[(.*?)\]", plan_of(found)).group(1)
+    assert len(keys.split(", ")) == 2
+
+
 def test_price_matches_has_no_nested_loop(spark, small):
     plan = plan_of(QUERIES["price_matches"](spark, small))
     assert "NestedLoop" not in plan and "HashJoin" in plan or "SortMergeJoin" in plan
