@@ -80,25 +80,50 @@ def _step(gates: np.ndarray, state: np.ndarray, carry: np.ndarray, h: int) -> tu
     return fresh + keep * (state - fresh), keep, reset, inner, fresh
 
 
-def _log_prob(x: np.ndarray, picked: np.ndarray) -> np.ndarray:
-    """Log probability of the picked columns by the scores ``x``, which are overwritten."""
-    x -= x.max(axis=1, keepdims=True)
-    chosen = x[np.arange(len(x)), picked]
-    return chosen - np.log(np.exp(x, out=x).sum(axis=1))
+def _with_bias(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """The bias as one more row of the weights, for states with a one at their end."""
+    return np.concatenate([weights, bias[..., None, :]], axis=-2)
 
 
-def output_log_probs(p: dict, shape: Shape, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Natural log probability of each id, the class alone for the last class; the inner softmax is done class by class."""
+def _sorted_by_class(shape: Shape, states: np.ndarray, ids: np.ndarray) -> tuple:
+    """The order by classes, in which each class is one slice; states with a one at their end, classes and places inside them."""
     group = np.minimum(ids // shape.members, shape.classes).astype(np.int16)
     order = np.argsort(group, kind="stable")
-    states, group, places = states[order], group[order], ids[order]
-    borders = np.searchsorted(group, np.arange(shape.classes + 1))
-    sorted_found = _log_prob(states @ p["class_out"] + p["class_bias"], group)
-    for c in range(shape.classes):
-        low, high = borders[c], borders[c + 1]
-        if low < high:
-            scores = states[low:high] @ p["word_out"][c] + p["word_bias"][c]
-            sorted_found[low:high] += _log_prob(scores, places[low:high] - c * shape.members)
+    rows = np.ones((len(ids), shape.hidden + 1), dtype=states.dtype)
+    rows[:, :-1] = states.take(order, axis=0)
+    group = group[order]
+    return order, rows, group, ids[order] - group.astype(np.int64) * shape.members
+
+
+def _inner_scores(word_out: np.ndarray, rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Scores of the members, one column per row that is not of the last class, and the slice of each class."""
+    borders = np.searchsorted(group, np.arange(len(word_out) + 1)).tolist()
+    slices = [(c, low, high) for c, (low, high) in enumerate(zip(borders[:-1], borders[1:], strict=True)) if low < high]
+    x = np.empty((word_out.shape[2], borders[-1]), dtype=rows.dtype)
+    for c, low, high in slices:
+        np.matmul(word_out[c].T, rows[low:high].T, out=x[:, low:high])
+    return x, slices
+
+
+def _log_prob(x: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """Log probability of the picked row in each column of the scores ``x``, which are overwritten."""
+    x -= x.max(axis=0)
+    chosen = x[picked, np.arange(len(picked))]
+    return chosen - np.log(np.exp(x, out=x).sum(axis=0))
+
+
+def output_log_probs(p: dict, shape: Shape, states: np.ndarray, ids: np.ndarray, block: int = 4096) -> np.ndarray:
+    """Natural log probability of each id, the class alone for the last class; scores are held for ``block`` ids at a time."""
+    class_out, word_out = _with_bias(p["class_out"], p["class_bias"]), _with_bias(p["word_out"], p["word_bias"])
+    order, rows, group, places = _sorted_by_class(shape, states, ids)
+    sorted_found = np.empty(len(ids), dtype=states.dtype)
+    for low in range(0, len(ids), block):
+        some, of, found = rows[low : low + block], group[low : low + block], sorted_found[low : low + block]
+        found[:] = _log_prob(class_out.T @ some.T, of)
+        scores = _inner_scores(word_out, some, of)[0]
+        inner = scores.shape[1]
+        if inner:
+            found[:inner] += _log_prob(scores, places[low : low + inner])
     found = np.empty_like(sorted_found)
     found[order] = sorted_found
     return found
@@ -131,7 +156,7 @@ def score_texts(flat: np.ndarray, shape: Shape, texts: list[np.ndarray], window:
             states = np.empty((width, live[0], h), dtype=np.float32)
             before = last
             for t, n in enumerate(live):
-                gates = gates_of[before[:n]]
+                gates = gates_of.take(before[:n], axis=0, mode="wrap")
                 if not begin and not t:
                     gates[:] = p["first"]
                 state = _step(gates, state[:n], p["carry"], h)[0]
@@ -145,18 +170,27 @@ def score_texts(flat: np.ndarray, shape: Shape, texts: list[np.ndarray], window:
 
 
 def _loss_and_error(x: np.ndarray, picked: np.ndarray, n: int) -> tuple[float, np.ndarray]:
-    """Summed log loss of the picked columns, and its slope over ``n`` by the scores ``x``, which are overwritten."""
-    at = np.arange(len(x))
-    x -= x.max(axis=1, keepdims=True)
-    chosen = x[at, picked].sum(dtype=np.float64)
+    """Summed log loss of the picked row in each column, and its slope over ``n`` by the scores ``x``, which are overwritten."""
+    at = np.arange(len(picked))
+    x -= x.max(axis=0)
+    chosen = x[picked, at].sum(dtype=np.float64)
     np.exp(x, out=x)
-    total = x.sum(axis=1, keepdims=True)
+    total = x.sum(axis=0)
     x /= total
-    x[at, picked] -= 1
+    x[picked, at] -= 1
     x /= n
     return float(np.log(total).sum(dtype=np.float64) - chosen), x
 
 
+def _sums_by_word(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words and the sums of their rows."""
+    # Two-byte numbers are sorted by counting.
+    order = np.argsort(words.astype(np.uint16) if words.max() < 1 << 16 else words, kind="stable")
+    words = words[order]
+    heads = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
+    return words[heads], np.add.reduceat(rows.take(order, axis=0), heads, axis=0)
+
+
 def loss_and_slope(flat: np.ndarray, shape: Shape, ids: np.ndarray, before: np.ndarray, state: np.ndarray) -> tuple:
     """Mean log loss of a window of ids (steps, lanes), its slope, and the last state.
 
@@ -168,7 +202,7 @@ def loss_and_slope(flat: np.ndarray, shape: Shape, ids: np.ndarray, before: np.n
     steps, lanes = ids.shape
     n = ids.size
     went_on = (before >= 0).astype(flat.dtype)[:, :, None]
-    gates = p["input"][np.maximum(before, 0)]
+    gates = p["input"].take(np.maximum(before, 0), axis=0)
     gates *= went_on
     gates += p["first"]
     keep, reset, inner, fresh, olds, states = np.empty((6, steps, lanes, h), dtype=flat.dtype)
@@ -176,26 +210,19 @@ def loss_and_slope(flat: np.ndarray, shape: Shape, ids: np.ndarray, before: np.n
         np.multiply(state, went_on[t], out=olds[t])
         state, keep[t], reset[t], inner[t], fresh[t] = _step(gates[t], olds[t], p["carry"], h)
         states[t] = state
-    # Rows in the order of their classes, so that each class is one slice.
-    flat_ids = ids.reshape(n)
-    group = np.minimum(flat_ids // shape.members, shape.classes).astype(np.int16)
-    order = np.argsort(group, kind="stable")
-    borders = np.searchsorted(group[order], np.arange(shape.classes + 1))
-    rows, group = states.reshape(n, h)[order], group[order]
-    loss, error = _loss_and_error(rows @ p["class_out"] + p["class_bias"], group, n)
-    g["class_out"][:] = rows.T @ error
-    g["class_bias"][:] = error.sum(axis=0)
-    down_rows = error @ p["class_out"].T
-    places = flat_ids[order] - group.astype(np.int64) * shape.members
-    for c in range(shape.classes):
-        low, high = borders[c], borders[c + 1]
-        if low < high:
-            some = rows[low:high]
-            more, error = _loss_and_error(some @ p["word_out"][c] + p["word_bias"][c], places[low:high], n)
-            loss += more
-            g["word_out"][c] = some.T @ error
-            g["word_bias"][c] = error.sum(axis=0)
-            down_rows[low:high] += error @ p["word_out"][c].T
+    class_out, word_out = _with_bias(p["class_out"], p["class_bias"]), _with_bias(p["word_out"], p["word_bias"])
+    order, rows, group, places = _sorted_by_class(shape, states.reshape(n, h), ids.reshape(n))
+    loss, error = _loss_and_error(class_out.T @ rows.T, group, n)
+    found = rows.T @ error.T
+    g["class_out"][:], g["class_bias"][:] = found[:-1], found[-1]
+    down_rows = error.T @ p["class_out"].T
+    scores, slices = _inner_scores(word_out, rows, group)
+    more, error = _loss_and_error(scores, places[: scores.shape[1]], n)
+    loss += more
+    for c, low, high in slices:
+        found = rows[low:high].T @ error[:, low:high].T
+        g["word_out"][c], g["word_bias"][c] = found[:-1], found[-1]
+        down_rows[low:high] += error[:, low:high].T @ p["word_out"][c].T
     back = np.empty_like(states)
     back.reshape(n, h)[order] = down_rows
     # What the slope of a state is multiplied by on its way to the three gates, for all steps at once.
@@ -220,11 +247,8 @@ def loss_and_slope(flat: np.ndarray, shape: Shape, ids: np.ndarray, before: np.n
     g["first"][:] = d_gates.sum(axis=0)
     inside = np.flatnonzero(before.reshape(n) >= 0)
     if len(inside):
-        words = before.reshape(n)[inside]
-        order = np.argsort(words, kind="stable")
-        words = words[order]
-        heads = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
-        g["input"][words[heads]] = np.add.reduceat(d_gates[inside[order]], heads, axis=0)
+        words, sums = _sums_by_word(before.reshape(n)[inside], d_gates.take(inside, axis=0))
+        g["input"][words] = sums
     return loss / n, slope, state
 
 
@@ -245,15 +269,25 @@ def train_windows(flat: np.ndarray, shape: Shape, texts: list[np.ndarray], rate:
     per = -(-len(ids) // lanes)
     ids, before = np.resize(ids, lanes * per).reshape(lanes, per).T, np.resize(before, lanes * per).reshape(lanes, per).T
     state = np.zeros((lanes, shape.hidden), dtype=np.float32)
-    first, second = np.zeros_like(flat), np.zeros_like(flat)
+    first, second, step = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat)
     for turn, begin in enumerate(range(0, per, window), 1):
         end = min(begin + window, per)
         _, slope, state = loss_and_slope(flat, shape, ids[begin:end], before[begin:end], state)
-        size = float(np.sqrt((slope * slope).sum()))
+        size = float(np.sqrt(np.multiply(slope, slope, out=step).sum()))
         if size > 1:
             slope /= size
-        first += 0.1 * (slope - first)
-        second += 0.01 * (slope * slope - second)
-        pace = rate * min(1.0, turn / 10)
-        flat -= pace * (first / (1 - 0.9**turn)) / (np.sqrt(second / (1 - 0.99**turn)) + 1e-6)
+            np.multiply(slope, slope, out=step)
+        step -= second
+        step *= 0.01
+        second += step
+        slope -= first
+        slope *= 0.1
+        first += slope
+        np.divide(second, 1 - 0.99**turn, out=slope)
+        np.sqrt(slope, out=slope)
+        slope += 1e-6
+        np.divide(first, 1 - 0.9**turn, out=step)
+        step *= rate * min(1.0, turn / 10)
+        step /= slope
+        flat -= step
     return flat

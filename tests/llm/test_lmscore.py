@@ -64,6 +64,36 @@ def test_probabilities_sum_to_one_and_windows_do_not_matter():
         assert s == pytest.approx(-loss * len(t) / np.log(10), rel=1e-3)
 
 
+def test_softmax_runs_once_for_all_classes(monkeypatch):
+    shape = gru.Shape(members=3, classes=5, hidden=4)
+    rng = np.random.default_rng(3)
+    flat = gru.start(shape, rng.integers(1, 50, 15).astype(float), 9.0)
+    calls = []
+    monkeypatch.setattr(gru, "_loss_and_error", lambda *a, real=gru._loss_and_error: calls.append(len(a[1])) or real(*a))
+    ids = np.arange(16 * 2).reshape(2, 16) % 16
+    gru.loss_and_slope(flat, shape, ids, np.full((2, 16), -1), np.zeros((16, 4), dtype=np.float32))
+    assert calls == [32, 30]  # the classes of all, the members of all but those of the last class
+    p, states, ids = shape.views(flat), rng.normal(size=(200, 4)).astype(np.float32), rng.integers(0, 16, 200)
+    whole = gru.output_log_probs(p, shape, states, ids)
+    assert np.allclose(whole, gru.output_log_probs(p, shape, states, ids, block=7), atol=1e-5)
+    for state, i, found in zip(states, ids, whole, strict=True):
+        x = state @ p["class_out"] + p["class_bias"]
+        want = x[i // 3] - np.log(np.exp(x).sum())
+        if i < shape.words:
+            y = state @ p["word_out"][i // 3] + p["word_bias"][i // 3]
+            want += y[i % 3] - np.log(np.exp(y).sum())
+        assert found == pytest.approx(want, abs=1e-4)
+
+
+def test_slope_by_word_of_many_and_of_large_numbers():
+    rng = np.random.default_rng(4)
+    for words in (rng.integers(0, 9, 500), rng.integers(0, 9, 500) + (1 << 16), np.array([5])):
+        rows = rng.normal(size=(len(words), 3))
+        found, sums = gru._sums_by_word(words, rows)
+        assert found.tolist() == sorted(set(words.tolist()))
+        assert all(np.allclose(s, rows[words == w].sum(axis=0)) for w, s in zip(found, sums, strict=True))
+
+
 def test_training_lowers_the_loss():
     shape = gru.Shape(members=4, classes=2, hidden=8)
     texts = [np.tile([0, 1, 2, 3, 4, 5, 6, 7], 6) for _ in range(60)]
