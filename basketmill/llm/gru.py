@@ -80,50 +80,45 @@ def _step(gates: np.ndarray, state: np.ndarray, carry: np.ndarray, h: int) -> tu
     return fresh + keep * (state - fresh), keep, reset, inner, fresh
 
 
-def _with_bias(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """The bias as one more row of the weights, for states with a one at their end."""
-    return np.concatenate([weights, bias[..., None, :]], axis=-2)
-
-
 def _sorted_by_class(shape: Shape, states: np.ndarray, ids: np.ndarray) -> tuple:
-    """The order by classes, in which each class is one slice; states with a one at their end, classes and places inside them."""
+    """The order by classes, in which each class is one slice; states, classes and places inside them."""
     group = np.minimum(ids // shape.members, shape.classes).astype(np.int16)
     order = np.argsort(group, kind="stable")
-    rows = np.ones((len(ids), shape.hidden + 1), dtype=states.dtype)
-    rows[:, :-1] = states.take(order, axis=0)
     group = group[order]
-    return order, rows, group, ids[order] - group.astype(np.int64) * shape.members
+    return order, states.take(order, axis=0), group, ids[order] - group.astype(np.int64) * shape.members
 
 
-def _inner_scores(word_out: np.ndarray, rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """Scores of the members, one column per row that is not of the last class, and the slice of each class."""
-    borders = np.searchsorted(group, np.arange(len(word_out) + 1)).tolist()
+def _inner_scores(p: dict, rows: np.ndarray, group: np.ndarray, order: str = "C") -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Scores of the members for the rows that are not of the last class, in this memory order, and the slice of each class."""
+    word_out, bias = p["word_out"], p["word_bias"]
+    borders = np.searchsorted(group, np.arange(len(bias) + 1)).tolist()
     slices = [(c, low, high) for c, (low, high) in enumerate(zip(borders[:-1], borders[1:], strict=True)) if low < high]
-    x = np.empty((word_out.shape[2], borders[-1]), dtype=rows.dtype)
+    x = np.empty((borders[-1], bias.shape[1]), dtype=rows.dtype, order=order)
     for c, low, high in slices:
-        np.matmul(word_out[c].T, rows[low:high].T, out=x[:, low:high])
+        np.add(rows[low:high] @ word_out[c], bias[c], out=x[low:high])
     return x, slices
 
 
 def _log_prob(x: np.ndarray, picked: np.ndarray) -> np.ndarray:
-    """Log probability of the picked row in each column of the scores ``x``, which are overwritten."""
-    x -= x.max(axis=0)
-    chosen = x[picked, np.arange(len(picked))]
-    return chosen - np.log(np.exp(x, out=x).sum(axis=0))
+    """Log probability of the picked columns by the scores ``x``, which are overwritten."""
+    x -= x.max(axis=1, keepdims=True)
+    chosen = x[np.arange(len(x)), picked]
+    return chosen - np.log(np.exp(x, out=x).sum(axis=1))
 
 
 def output_log_probs(p: dict, shape: Shape, states: np.ndarray, ids: np.ndarray, block: int = 4096) -> np.ndarray:
     """Natural log probability of each id, the class alone for the last class; scores are held for ``block`` ids at a time."""
-    class_out, word_out = _with_bias(p["class_out"], p["class_bias"]), _with_bias(p["word_out"], p["word_bias"])
     order, rows, group, places = _sorted_by_class(shape, states, ids)
     sorted_found = np.empty(len(ids), dtype=states.dtype)
     for low in range(0, len(ids), block):
         some, of, found = rows[low : low + block], group[low : low + block], sorted_found[low : low + block]
-        found[:] = _log_prob(class_out.T @ some.T, of)
-        scores = _inner_scores(word_out, some, of)[0]
-        inner = scores.shape[1]
-        if inner:
-            found[:inner] += _log_prob(scores, places[low : low + inner])
+        # Scores of one word side by side: largest values and sums then run along the texts.
+        scores = (p["class_out"].T @ some.T).T
+        scores += p["class_bias"]
+        found[:] = _log_prob(scores, of)
+        scores = _inner_scores(p, some, of, "F")[0]
+        if len(scores):
+            found[: len(scores)] += _log_prob(scores, places[low : low + len(scores)])
     found = np.empty_like(sorted_found)
     found[order] = sorted_found
     return found
@@ -170,14 +165,14 @@ def score_texts(flat: np.ndarray, shape: Shape, texts: list[np.ndarray], window:
 
 
 def _loss_and_error(x: np.ndarray, picked: np.ndarray, n: int) -> tuple[float, np.ndarray]:
-    """Summed log loss of the picked row in each column, and its slope over ``n`` by the scores ``x``, which are overwritten."""
-    at = np.arange(len(picked))
-    x -= x.max(axis=0)
-    chosen = x[picked, at].sum(dtype=np.float64)
+    """Summed log loss of the picked columns, and its slope over ``n`` by the scores ``x``, which are overwritten."""
+    at = np.arange(len(x))
+    x -= x.max(axis=1, keepdims=True)
+    chosen = x[at, picked].sum(dtype=np.float64)
     np.exp(x, out=x)
-    total = x.sum(axis=0)
+    total = x.sum(axis=1, keepdims=True)
     x /= total
-    x[picked, at] -= 1
+    x[at, picked] -= 1
     x /= n
     return float(np.log(total).sum(dtype=np.float64) - chosen), x
 
@@ -210,19 +205,20 @@ def loss_and_slope(flat: np.ndarray, shape: Shape, ids: np.ndarray, before: np.n
         np.multiply(state, went_on[t], out=olds[t])
         state, keep[t], reset[t], inner[t], fresh[t] = _step(gates[t], olds[t], p["carry"], h)
         states[t] = state
-    class_out, word_out = _with_bias(p["class_out"], p["class_bias"]), _with_bias(p["word_out"], p["word_bias"])
     order, rows, group, places = _sorted_by_class(shape, states.reshape(n, h), ids.reshape(n))
-    loss, error = _loss_and_error(class_out.T @ rows.T, group, n)
-    found = rows.T @ error.T
-    g["class_out"][:], g["class_bias"][:] = found[:-1], found[-1]
-    down_rows = error.T @ p["class_out"].T
-    scores, slices = _inner_scores(word_out, rows, group)
-    more, error = _loss_and_error(scores, places[: scores.shape[1]], n)
+    scores = rows @ p["class_out"]
+    scores += p["class_bias"]
+    loss, error = _loss_and_error(scores, group, n)
+    g["class_out"][:] = rows.T @ error
+    g["class_bias"][:] = error.sum(axis=0)
+    down_rows = error @ p["class_out"].T
+    scores, slices = _inner_scores(p, rows, group)
+    more, error = _loss_and_error(scores, places[: len(scores)], n)
     loss += more
     for c, low, high in slices:
-        found = rows[low:high].T @ error[:, low:high].T
-        g["word_out"][c], g["word_bias"][c] = found[:-1], found[-1]
-        down_rows[low:high] += error[:, low:high].T @ p["word_out"][c].T
+        np.matmul(rows[low:high].T, error[low:high], out=g["word_out"][c])
+        error[low:high].sum(axis=0, out=g["word_bias"][c])
+        down_rows[low:high] += error[low:high] @ p["word_out"][c].T
     back = np.empty_like(states)
     back.reshape(n, h)[order] = down_rows
     # What the slope of a state is multiplied by on its way to the three gates, for all steps at once.
