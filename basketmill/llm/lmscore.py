@@ -13,6 +13,7 @@ Spark, each by the tokens it has seen.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -88,12 +89,24 @@ class Frequencies:
     other_tokens: int
     other_distinct: int
 
+    @cached_property
+    def _begins(self) -> tuple[int, np.ndarray, np.ndarray]:
+        """By the first bits of a hash, the first word that has them or more; the words, with one more at their end."""
+        shift = 63 - len(self.words).bit_length()
+        low = np.arange(1 << (64 - shift), dtype=np.uint64) << np.uint64(shift)
+        return shift, np.searchsorted(self.words, low), np.append(self.words, np.uint64(2**64 - 1))
+
     def places(self, hashes: np.ndarray) -> np.ndarray:
         """Place in the table, -1 for words that are not in it."""
         if not len(self.words):
             return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, -1)
+        shift, begins, words = self._begins
+        at = begins.take((hashes >> np.uint64(shift)).view(np.int64))
+        behind = np.flatnonzero(words.take(at) < hashes)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[words.take(at.take(behind)) < hashes.take(behind)]
+        return np.where((words.take(at) == hashes) & (at < len(self.words)), at, -1)
 
     def ids(self, places: np.ndarray) -> np.ndarray:
         """Ids for the recurrent model."""

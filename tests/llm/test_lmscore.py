@@ -85,6 +85,58 @@ def test_softmax_runs_once_for_all_classes(monkeypatch):
         assert found == pytest.approx(want, abs=1e-4)
 
 
+def test_scores_are_held_in_blocks_and_few_texts_have_long_windows(monkeypatch):
+    shape = gru.Shape(members=3, classes=5, hidden=4)
+    rng = np.random.default_rng(6)
+    flat = gru.start(shape, rng.integers(1, 50, 15).astype(float), 9.0)
+    held, calls = [], []
+    monkeypatch.setattr(gru, "_loss_and_error", lambda x, *a, real=gru._loss_and_error: held.append(x.shape[1]) or real(x, *a))
+    monkeypatch.setattr(gru, "output_log_probs", lambda *a, real=gru.output_log_probs: calls.append(len(a[3])) or real(*a))
+    ids = rng.integers(0, 16, size=(16, 512))
+    before = np.vstack([np.full(512, -1), ids[:-1]])
+    loss, slope, _ = gru.loss_and_slope(flat, shape, ids, before, np.zeros((512, 4), dtype=np.float32))
+    assert max(held) <= gru.BLOCK < sum(held)
+    whole, by_whole, _ = gru.loss_and_slope(flat, shape, ids, before, np.zeros((512, 4), dtype=np.float32), block=ids.size)
+    assert loss == pytest.approx(whole, rel=1e-5) and np.allclose(slope, by_whole, atol=1e-6)
+    gru.score_texts(flat, shape, [rng.integers(0, 16, 5000)])
+    assert calls == [5000]
+
+
+@pytest.mark.filterwarnings("error")
+def test_large_weights_stay_in_range():
+    shape = gru.Shape(members=3, classes=2, hidden=4)
+    rng = np.random.default_rng(7)
+    flat = (gru.start(shape, np.arange(1.0, 7.0), 4.0) + rng.normal(size=shape.size()) * 200).astype(np.float32)
+    assert not gru._within_range(shape.views(flat)["class_out"], np.zeros((1, 4)))
+    p = shape.views(flat.astype(np.float64))
+    text, state, want = rng.integers(0, 7, 40), np.zeros(4), 0.0
+    for last, i in zip([-1, *text[:-1]], text, strict=True):
+        gates = p["first"] + (p["input"][last] if last >= 0 else 0)
+        own = state @ p["carry"]
+        keep, reset = (0.5 + 0.5 * np.tanh((gates[a : a + 4] + own[a : a + 4]) / 2) for a in (0, 4))
+        fresh = np.tanh(gates[8:] + reset * own[8:])
+        state = fresh + keep * (state - fresh)
+        x = state @ p["class_out"] + p["class_bias"]
+        want += x[i // 3] - np.logaddexp.reduce(x)
+        if i < shape.words:
+            y = state @ p["word_out"][i // 3] + p["word_bias"][i // 3]
+            want += y[i % 3] - np.logaddexp.reduce(y)
+    assert gru.score_texts(flat, shape, [text])[0] == pytest.approx(want / np.log(10), rel=1e-2)
+    before = np.append(-1, text[:-1])[:, None]
+    loss, slope, _ = gru.loss_and_slope(flat, shape, text[:, None], before, np.zeros((1, 4), dtype=np.float32))
+    assert loss == pytest.approx(-want / 40, rel=1e-2) and np.isfinite(slope).all()
+
+
+def test_places_in_the_table():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 2, 3, 1000):
+        words = np.unique(np.append(rng.integers(0, 1 << 64, n, dtype=np.uint64), [np.uint64(2**64 - 1)] * (n > 1)).astype(np.uint64))
+        table = lmscore.Frequencies(1, 1, words, words.view(np.int64), words.view(np.int64), 0, 0)
+        where = {int(w): i for i, w in enumerate(words)}
+        asked = np.concatenate([words, words - np.uint64(1), words + np.uint64(1), np.array([0, 5, 2**64 - 1], dtype=np.uint64)])
+        assert table.places(asked).tolist() == [where.get(int(w), -1) for w in asked]
+
+
 def test_slope_by_word_of_many_and_of_large_numbers():
     rng = np.random.default_rng(4)
     for words in (rng.integers(0, 9, 500), rng.integers(0, 9, 500) + (1 << 16), np.array([5])):
